@@ -42,8 +42,11 @@ def fit_nb(
     train: DataFrame, vocab: Vocabulary, classes: int, alpha: float = 1.0, id_col: str = "id",
     label_col: str = "label", tokens_col: str = "tokens",
 ) -> DataFrame:
-    """term, weights array<double> by class id."""
-    counts = materialise(class_counts(train, vocab, classes, id_col, label_col, tokens_col))
+    """term, weights array<double> by class id, for every term of the vocabulary."""
+    met = class_counts(train, vocab, classes, id_col, label_col, tokens_col)
+    none = F.array_repeat(F.lit(0).cast("bigint"), classes)
+    counts = materialise(vocab.table.select("term").join(met, "term", "left").withColumn(
+        "counts", F.coalesce("counts", none)))
     totals = F.array(*[F.lit(int(n or 0)) for n in _totals(counts, classes).first()["t"]]).cast("array<bigint>")
     return materialise(counts.select("term", _complement_weights(F.col("counts"), totals, alpha, vocab.size).alias("weights")))
 

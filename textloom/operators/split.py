@@ -27,6 +27,8 @@ def allocate(draws: int, counts: Mapping[object, int]) -> dict[object, int]:
     """Share draws out in proportion to counts: whole parts first, the rest to the largest
     remainders, ties in class order. Integers throughout."""
     total = sum(counts.values())
+    if total == 0:
+        return dict(counts)
     shares = {c: draws * n // total for c, n in counts.items()}
     by_remainder = sorted(counts, key=lambda c: (-(draws * counts[c] % total), c))
     for c in by_remainder[: draws - sum(shares.values())]:

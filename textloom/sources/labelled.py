@@ -97,4 +97,7 @@ def load_corpus(
 
 
 def write_labelled_csv(df: DataFrame, path: str) -> None:
-    df.write.csv(path, header=True, escape='"', quoteAll=True, emptyValue="", lineSep="\n")
+    """Fields come back as they were: white space at their ends is kept, unlike by the writer's default."""
+    df.write.csv(
+        path, header=True, escape='"', quoteAll=True, emptyValue="", lineSep="\n",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
