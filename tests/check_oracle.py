@@ -18,6 +18,9 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "benchmark labels conversations").split()
 
 
+TYPES = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
 def connect(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -42,9 +45,12 @@ def compare(spark, con, name: str, sf_dir: str) -> str:
     df = entry_point.queries()[name](spark, sf_dir)
     sn, srows = table_of(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(entry_point.oracle_sql()[name])
+    types = {d[0]: TYPES.get(str(d[1]), str(d[1])) for d in cur.description}
     on, orows = table_of([d[0] for d in cur.description], cur.fetchall())
     if sn != on:
         return f"columns {sn} != {on}"
+    if types != dict(df.dtypes):
+        return f"types {dict(df.dtypes)} != {types}"
     if len(srows) != len(orows):
         return f"{len(srows)} rows != {len(orows)}"
     bad = [(a, b) for a, b in zip(srows, orows) if a != b]

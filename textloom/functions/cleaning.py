@@ -67,14 +67,19 @@ def _split_apostrophes(text: Column) -> Column:
     return F.regexp_replace(text, "([^' ])('ll|'re|'ve|n't) ", "$1 $2 ")
 
 
-def tokenise(normalised: Column | str) -> Column:
-    """Words of a normalised text, contractions split as a Treebank tokeniser splits them."""
+def _word_parts(normalised: Column | str) -> Column:
+    """Words of a normalised text with empty strings at the ends."""
     col = F.col(normalised) if isinstance(normalised, str) else normalised
     text = F.when(F.contains(col, F.lit("'")), _split_apostrophes(col)).otherwise(
         F.concat(F.lit(" "), col, F.lit(" ")))
     text = F.regexp_replace(text, TWO_PART_PATTERN, TWO_PART_HALVES)
     text = F.regexp_replace(text, r" ('t)(is|was)\b", " $1 $2 ")
-    return F.filter(F.split(text, " +"), lambda t: t != "")
+    return F.split(text, " +")
+
+
+def tokenise(normalised: Column | str) -> Column:
+    """Words of a normalised text, contractions split as a Treebank tokeniser splits them."""
+    return F.filter(_word_parts(normalised), lambda t: t != "")
 
 
 def stop_words(custom: Iterable[str] = ()) -> list[str]:
@@ -88,11 +93,6 @@ def remove_stop_words(tokens: Column | str, custom: Iterable[str] = ()) -> Colum
     return F.filter(col, lambda t: ~t.isin(stop))
 
 
-def drop_short(tokens: Column | str, min_token_len: int = 2) -> Column:
-    col = F.col(tokens) if isinstance(tokens, str) else tokens
-    return F.filter(col, lambda t: F.length(t) >= min_token_len)
-
-
 def with_tokens(
     df: DataFrame,
     text_col: str = "text",
@@ -106,13 +106,15 @@ def with_tokens(
     The normalised text is a column of its own because array functions with lambdas are evaluated
     outside generated code and would run its regular expressions once per reference.
     """
-    tokens = tokenise("_normalised")
-    if remove_stopwords:
-        tokens = remove_stop_words(tokens, custom_stopwords)
-    tokens = drop_short(tokens, min_token_len)
+    stop = stop_words(custom_stopwords)
+
+    def keep(t: Column) -> Column:
+        long_enough = F.length(t) >= max(min_token_len, 1)
+        return long_enough & ~t.isin(stop) if remove_stopwords else long_enough
+
     return (
         df.withColumn("_normalised", normalise_text(text_col))
-        .withColumn(out, tokens)
+        .withColumn(out, F.filter(_word_parts("_normalised"), keep))
         .drop("_normalised")
     )
 

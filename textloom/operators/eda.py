@@ -31,23 +31,22 @@ def token_length_histogram(df: DataFrame, text_col: str = "text", bins: int = LE
     If all lengths agree there is a single bin.
     """
     lengths = length_counts(df, text_col)
-    ends = lengths.agg(F.struct(F.min("token_count").alias("lo"), F.max("token_count").alias("hi")).alias("e"))
-    low = lengths.agg(F.min("token_count").alias("x")).scalar()
-    span = lengths.agg((F.max("token_count") - F.min("token_count")).alias("x")).scalar()
+    ends = lengths.agg(F.min("token_count").alias("lo"), F.max("token_count").alias("hi")).where("lo IS NOT NULL")
+    range_ = ends.select(F.struct("lo", "hi")).scalar()  # one row, computed once
+    lo, hi = range_["lo"], range_["hi"]
+    place = F.floor((F.col("token_count") - lo) * bins / (hi - lo))
     filled = (
-        lengths.withColumn("_span", span)
-        .withColumn("bin", F.when(F.col("_span") == 0, 0).otherwise(F.least(
-            F.floor((F.col("token_count") - low) * F.lit(bins) / F.col("_span")), F.lit(bins - 1))).cast("int"))
+        lengths.withColumn("bin", F.when(hi == lo, 0).otherwise(F.least(place, F.lit(bins - 1))).cast("int"))
         .groupBy("bin").agg(F.sum("n").alias("n"))
     )
-    all_bins = ends.select("e.lo", "e.hi").where(F.col("lo").isNotNull()).select(
-        "lo", "hi", F.explode(F.sequence(F.lit(0), F.when(F.col("lo") == F.col("hi"), 0).otherwise(bins - 1))).alias("bin"))
-    width = (F.col("hi") - F.col("lo")) / F.lit(float(bins))
+    lo, hi = F.col("lo"), F.col("hi")
+    width = (hi - lo) / F.lit(float(bins))
+    last = F.when(lo == hi, 0).otherwise(bins - 1)
+    all_bins = ends.withColumn("bin", F.explode(F.sequence(F.lit(0), last)))
     return all_bins.join(filled, "bin", "left").select(
         "bin",
-        F.round(F.col("lo") + F.col("bin") * width, 6).alias("lower"),
-        F.round(F.when(F.col("lo") == F.col("hi"), F.col("hi")).otherwise(
-            F.col("lo") + (F.col("bin") + 1) * width), 6).alias("upper"),
+        F.round(lo + F.col("bin") * width, 6).alias("lower"),
+        F.round(F.when(lo == hi, hi).otherwise(lo + (F.col("bin") + 1) * width), 6).alias("upper"),
         F.coalesce("n", F.lit(0)).alias("n"),
     )
 

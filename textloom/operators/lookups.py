@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textloom.fixed_values import EMOTIONS, UNKNOWN, UNKNOWN_ID
 
-MAX_CLASSES = 10_000
+# Classes are columns and literals in several plans.
+MAX_CLASSES = 1_000
 
 
 def check_labels(labels: Sequence[str]) -> list[str]:

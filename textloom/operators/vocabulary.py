@@ -95,8 +95,10 @@ def fit_vocabulary(
     return Vocabulary(table, n_docs, table.count(), ngram_range)
 
 
-def _weighted(df: DataFrame, vocab: Vocabulary, keep: list[str], id_col: str, tokens_col: str, how: str) -> DataFrame:
-    """One row per document: cells array<struct<idx, term, w>> with L2-normed weights, by idx.
+def _weighted(
+    df: DataFrame, vocab: Vocabulary, keep: list[str], id_col: str, tokens_col: str, how: str, name: str
+) -> DataFrame:
+    """One row per document: cells array<struct<name, w>> with L2-normed weights, by name: idx or term.
 
     Terms outside the vocabulary are dropped in the join. The only shuffle is the regrouping by id.
     """
@@ -106,7 +108,7 @@ def _weighted(df: DataFrame, vocab: Vocabulary, keep: list[str], id_col: str, to
     others = [c for c in keep if c != id_col]
     rows = cells.withColumn("w", w).groupBy(id_col).agg(
         *[F.any_value(c).alias(c) for c in others],
-        F.sort_array(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct("idx", "term", "w")))).alias("cells"),
+        F.sort_array(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct(name, "w")))).alias("cells"),
         F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"),
     )
     normed = F.transform("cells", lambda c: c.withField("w", c["w"] / F.col("_norm")))
@@ -117,7 +119,7 @@ def tfidf_rows(
     df: DataFrame, vocab: Vocabulary, id_col: str = "id", tokens_col: str = "tokens"
 ) -> DataFrame:
     """id, term, weight; documents without a known term have no rows."""
-    rows = _weighted(df, vocab, [id_col], id_col, tokens_col, "inner")
+    rows = _weighted(df, vocab, [id_col], id_col, tokens_col, "inner", "term")
     return rows.select(id_col, F.inline_outer("cells")).select(id_col, "term", F.col("w").alias("weight"))
 
 
@@ -129,7 +131,7 @@ def tfidf_vectors(
     Iterative training reads its input many times, so it is written once. The stored struct is what
     a vector column consists of, and reading it back as one needs no per-row Python.
     """
-    rows = _weighted(df, vocab, keep, id_col, tokens_col, "left")
+    rows = _weighted(df, vocab, keep, id_col, tokens_col, "left", "idx")
     features = F.struct(
         F.lit(0).cast("tinyint").alias("type"),
         F.lit(vocab.size).alias("size"),

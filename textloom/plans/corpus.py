@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textloom.cluster import materialise, spread, write_and_read
+from textloom.cluster import spread, write_and_read
 from textloom.functions.cleaning import clean_text, with_tokens
 from textloom.operators.lookups import name_to_id
 from textloom.operators.naive_bayes import fit_nb, nb_predict, nb_scores
@@ -29,9 +29,9 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with tokens and content. Cleaning is the costliest step and several passes follow,
-    so its result is written once."""
-    docs = with_tokens(spread(documents(spark, sf_dir)))
-    return write_and_read(docs.withColumn("content", clean_text("tokens")), "cleaned")
+    so its result is written once; each pass reads the columns it needs."""
+    docs = write_and_read(with_tokens(spread(documents(spark, sf_dir))), "cleaned")
+    return docs.withColumn("content", clean_text("tokens"))
 
 
 @dataclass
