@@ -17,7 +17,7 @@ from textloom.sources import synthetic_corpus
 from textloom.streaming.score import score_stream
 
 LIGHT = {"svm": {"maxIter": 10}, "rf": {"numTrees": 10, "maxDepth": 8}, "gb": {"maxIter": 3, "top": 60},
-         "mlp": {"top": 60, "hidden": 16, "maxIter": 40}}
+         "mlp": {"top": 60, "hidden": 16, "maxIter": 40}, "cnb": {}}
 
 
 @pytest.fixture(scope="module")
@@ -80,7 +80,7 @@ def test_registry(ready, spark):
     _, _, _, data = ready
     with pytest.raises(ValueError, match="unknown model"):
         model_spec("nope")
-    assert [len(model_spec(n).points()) for n in ("svm", "rf", "gb")] == [4, 18, 12]
+    assert [len(model_spec(n).points()) for n in ("svm", "rf", "gb", "cnb")] == [4, 18, 12, 3]
     from pyspark.ml.classification import LogisticRegression
 
     register_model("lr", lambda p, d: LogisticRegression(maxIter=10, weightCol="weight"))

@@ -6,6 +6,9 @@ gives no probabilities, so the binary models are taken out and become stages of
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -83,17 +86,19 @@ def fit_calibrated_svm(
 
     `train` has label, weight, features and the fold.
     """
-    stages, columns, slopes, offsets = [], [], [], []
-    for f in range(folds):
+
+    def fit_fold(f: int) -> tuple[list[Transformer], list[str], list[tuple[float, float]]]:
         rest, held = train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)
         models = fit_binary(rest, linear_svc(c, rest.count(), max_iter), f"_svm{f}", parallelism)
         names = margin_columns(f"_svm{f}", classes)
         margins = F.array(*[F.get(vector_to_array(n), F.lit(1)) for n in names])
         scored = PipelineModel(models).transform(held).select(
             F.col("label").cast("int").alias("label"), margins.alias("margins"))
-        for slope, offset in fit_platt(write_and_read(scored, "margins"), classes):
-            slopes.append(slope)
-            offsets.append(offset)
-        stages += models
-        columns += names
-    return [*stages, MarginProbability(marginCols=columns, classes=classes, slopes=slopes, offsets=offsets)]
+        return models, names, fit_platt(write_and_read(scored, "margins"), classes)
+
+    with ThreadPoolExecutor(folds) as pool:  # the folds are independent jobs
+        fitted = list(pool.map(inheritable_thread_target(train.sparkSession)(fit_fold), range(folds)))
+    sigmoids = [s for _, _, fold in fitted for s in fold]
+    return [*[m for models, _, _ in fitted for m in models], MarginProbability(
+        marginCols=[n for _, names, _ in fitted for n in names], classes=classes,
+        slopes=[slope for slope, _ in sigmoids], offsets=[offset for _, offset in sigmoids])]

@@ -8,7 +8,7 @@ from itertools import product
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (
-    GBTClassifier, MultilayerPerceptronClassifier, RandomForestClassifier,
+    GBTClassifier, MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier,
 )
 from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.sql import DataFrame, functions as F
@@ -87,6 +87,10 @@ def _perceptron(params: Mapping, data: TrainingData) -> Estimator:
     return Pipeline(stages=[reduced(top), net])
 
 
+def _complement_nb(params: Mapping, data: TrainingData) -> Estimator:
+    return NaiveBayes(modelType="complement", smoothing=params.get("alpha", 1.0), weightCol="weight")
+
+
 REGISTRY: dict[str, Spec] = {}
 
 
@@ -106,6 +110,7 @@ def model_spec(name: str) -> Spec:
 register_model("svm", _svm, GRIDS["svm"], _svm_calibrated)
 register_model("rf", _forest, GRIDS["rf"])
 register_model("gb", _boosting, GRIDS["gb"])
+register_model("cnb", _complement_nb, GRIDS["cnb"])
 # A recurrent net over a sequence of length one has no recurrence, so these names mean the same net.
 for _name in ("mlp", "lstm", "gru"):
     register_model(_name, _perceptron, GRIDS["mlp"])
