@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textloom.llm.bpe import round_trip_digests
 from textloom.llm.common import table
+from textloom.llm.mixing import MIX_SQL, mix_sources
 from textloom.llm.token_counts import token_counts
 from textloom.llm.urls import judge_urls
 
@@ -68,3 +69,11 @@ SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM judged
 """
+
+
+@query
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op6_mix_sources"] = MIX_SQL
