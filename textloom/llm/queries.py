@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textloom.llm.bpe import round_trip_digests
 from textloom.llm.common import table
+from textloom.llm import fingerprint
+from textloom.llm.fingerprint import fingerprint_edits
 from textloom.llm.mixing import MIX_SQL, mix_sources
 from textloom.llm.token_counts import token_counts
 from textloom.llm.urls import judge_urls
@@ -77,3 +79,11 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op6_mix_sources"] = MIX_SQL
+
+
+@query
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op3_fingerprints"] = fingerprint.sql()
