@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from textloom.llm.bpe import round_trip_digests
-from textloom.llm.common import table
+from textloom.llm.common import remainder_is, table
 from textloom.llm import fingerprint
 from textloom.llm.fingerprint import fingerprint_edits
+from textloom.llm.language import fit_languages, predict_languages
 from textloom.llm.mixing import MIX_SQL, mix_sources
 from textloom.llm.token_counts import token_counts
 from textloom.llm.urls import judge_urls
@@ -87,3 +88,11 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op3_fingerprints"] = fingerprint.sql()
+
+
+@query
+def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder_is("doc_id", 4, 2)
+    model = fit_languages(docs.where(docs["doc_id"].isNotNull() & ~held_out))
+    return predict_languages(docs, model, keep={"held_out": held_out})
