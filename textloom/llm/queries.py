@@ -13,6 +13,7 @@ from textloom.llm import fingerprint
 from textloom.llm.fingerprint import fingerprint_edits
 from textloom.llm.language import fit_languages, predict_languages
 from textloom.llm.mixing import MIX_SQL, mix_sources
+from textloom.llm.quality import AdditiveModel, fit_quality, score_quality
 from textloom.llm.token_counts import token_counts
 from textloom.llm.urls import judge_urls
 
@@ -96,3 +97,15 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder_is("doc_id", 4, 2)
     model = fit_languages(docs.where(docs["doc_id"].isNotNull() & ~held_out))
     return predict_languages(docs, model, keep={"held_out": held_out})
+
+
+def quality_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> AdditiveModel:
+    labels = table(spark, sf_dir, "labels")
+    return fit_quality(docs, labels.where(~remainder_is("doc_id", 5, 0)))
+
+
+@query
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return score_quality(docs, quality_model(spark, docs, sf_dir),
+                         keep={"doc_id": docs["doc_id"], "held_out": remainder_is("doc_id", 5, 0)})
