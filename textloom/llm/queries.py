@@ -15,6 +15,7 @@ from textloom.llm.language import fit_languages, predict_languages
 from textloom.llm.mixing import MIX_SQL, mix_sources
 from textloom.llm.quality import AdditiveModel, fit_quality, score_quality
 from textloom.llm.token_counts import token_counts
+from textloom.llm.topk import quantised, top_k
 from textloom.llm.urls import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -109,3 +110,23 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return score_quality(docs, quality_model(spark, docs, sf_dir),
                          keep={"doc_id": docs["doc_id"], "held_out": remainder_is("doc_id", 5, 0)})
+
+
+@query
+def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = quantised(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+ORACLE_SQL["op2_exact_top_k"] = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(c.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)),
+ranked AS (
+  SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
