@@ -11,6 +11,7 @@ from textloom.llm.bpe import round_trip_digests
 from textloom.llm.common import remainder_is, table
 from textloom.llm import fingerprint
 from textloom.llm.fingerprint import fingerprint_edits
+from textloom.llm.jaccard import jaccard_components
 from textloom.llm.language import fit_languages, predict_languages
 from textloom.llm.mixing import MIX_SQL, mix_sources
 from textloom.llm.quality import AdditiveModel, fit_quality, score_quality
@@ -130,3 +131,8 @@ ranked AS (
   SELECT *, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
