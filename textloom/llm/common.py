@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType
 
 #: Characters a Python function handles at a time; a longer text is handled alone.
 CHUNK_CHARS = 2_000_000
@@ -26,7 +27,7 @@ def bounded_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
-def map_batches(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | StructType) -> DataFrame:
     """`fn()` is called once per task and returns the function that is applied to every batch."""
     bounded_batches(df.sparkSession)
 
@@ -39,6 +40,11 @@ def map_batches(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], pa.Re
     return df.mapInArrow(run, schema)
 
 
+def nullable(schema: StructType) -> StructType:
+    """What comes back from Python may hold nulls, whatever Spark knows of the column before."""
+    return StructType([StructField(f.name, f.dataType, True, f.metadata) for f in schema])
+
+
 def chunks(texts: list[str], size: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of a batch with about `size` characters each."""
     start, total = 0, 0

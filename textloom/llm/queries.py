@@ -14,6 +14,7 @@ from textloom.llm.fingerprint import fingerprint_edits
 from textloom.llm.jaccard import jaccard_components
 from textloom.llm.language import fit_languages, predict_languages
 from textloom.llm.mixing import MIX_SQL, mix_sources
+from textloom.llm.pii import find_pii
 from textloom.llm.quality import AdditiveModel, fit_quality, score_quality
 from textloom.llm.token_counts import token_counts
 from textloom.llm.topk import quantised, top_k
@@ -136,3 +137,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 @query
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents")).drop("found")
