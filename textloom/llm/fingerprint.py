@@ -132,10 +132,11 @@ def with_next(df: DataFrame, values: list[str], prefix: str = "next_") -> DataFr
         F.element_at(first, at).eqNullSafe(F.col("id")),
         F.array(place(F.col("_own"), False), place(F.element_at(back, at), True)),
     ).otherwise(F.array(place(F.col("_own"), False))))).drop("_own")
-    order = Window.partitionBy("_at.range").orderBy(F.col("_at.tail"), F.col("id").asc_nulls_last(), *values)
-    for c in values:
-        df = df.withColumn(prefix + c, F.lead(c).over(order))
-    return df.where("NOT _at.tail").drop("_at")
+    df = df.select("*", F.col("_at.range").alias("_range"), F.col("_at.tail").alias("_tail")).drop("_at")
+    # one window, so one exchange: its keys are columns and all values are taken in one step
+    order = Window.partitionBy("_range").orderBy(F.col("_tail"), F.col("id").asc_nulls_last(), *values)
+    df = df.select("*", *[F.lead(c).over(order).alias(prefix + c) for c in values])
+    return df.where("NOT _tail").drop("_range", "_tail")
 
 
 def fingerprint_edits(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
