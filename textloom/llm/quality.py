@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from textloom.llm.common import batch, chunks, map_batches
+from textloom.llm.common import batch, chunks, map_batches, nullable
 
 #: Labelled rows that the model is fitted on, about: those with the smallest hashes of their id.
 MAX_TRAIN_ROWS = 20_000
@@ -203,3 +203,16 @@ def score_quality(df: DataFrame, model: AdditiveModel, threshold: float = 0.3, t
 
     types = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
     return map_batches(picked, task, f"{types}score double, predicted int")
+
+
+def keep_good(df: DataFrame, model: AdditiveModel, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
+    """The rows of `df` whose score is at least `threshold`, unchanged, whatever other columns they have."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+    at = df.columns.index(text_col)
+
+    def apply(b: pa.RecordBatch) -> pa.RecordBatch:
+        texts = b.column(at).to_pylist()
+        parts = [shared.value.score(_matrix(texts[s:e])) for s, e in chunks([t or "" for t in texts])]
+        return b.filter(pa.array(np.concatenate(parts) >= threshold))
+
+    return map_batches(df, lambda: apply, nullable(df.schema))
