@@ -183,8 +183,8 @@ def learn_patterns(df: DataFrame, text_col: str = "text", min_seeds: int = MIN_S
 
     Seeds are what the fixed patterns find. The words before them are patterns, and what looks like an identifier after
     the same words is an instance too. A pattern's confidence in a kind is the weight of the instances after it over
-    all its occurrences in the corpus; an instance that is no seed weighs as much as the patterns before it, taken as
-    independent, make it likely. Both are computed in turn over the graph of patterns and instances. A pattern needs
+    all its occurrences in the corpus; an instance that is no seed weighs as much as the other patterns before it,
+    taken as independent, make it likely. Both are computed in turn over the graph of patterns and instances. A pattern needs
     `min_seeds` different seeds, so copies of a document add nothing.
     """
     docs = df.select(df[text_col].cast("string").alias("text"))
@@ -205,14 +205,18 @@ def learn_patterns(df: DataFrame, text_col: str = "text", min_seeds: int = MIN_S
     edges = write_and_read(edges.select(
         "pattern", supported["kind"].alias("kind"), "words", "instance", "seeds", "total", seen["count"].alias("n"),
         F.when(seen["kind"] >= 0, F.col("fits").cast("double")).when(~F.col("fits"), 0.0).alias("fixed")), "edges")
-    weights = None
+    scored = None
     for _ in range(rounds):
-        known = edges if weights is None else edges.join(weights, ["instance", "kind"], "left")
-        weight = F.coalesce("fixed", F.lit(0.0)) if weights is None else F.coalesce("fixed", "weight", F.lit(0.0))
+        if scored is None:
+            known = edges.withColumn("weight", F.coalesce("fixed", F.lit(0.0)))
+        else:  # what the other patterns before an instance say of it: none vouches for itself
+            doubt = F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))
+            loose = edges.where("fixed IS NULL").join(scored.withColumn("doubt", doubt).drop("confidence"), ["pattern", "kind"])
+            all_ = loose.groupBy("instance", "kind").agg(F.sum("doubt").alias("doubts"))
+            loose = loose.join(all_, ["instance", "kind"]).withColumn("weight", 1 - F.exp(F.col("doubts") - F.col("doubt")))
+            known = edges.where("fixed IS NOT NULL").withColumn("weight", F.col("fixed")).unionByName(loose.select(*edges.columns, "weight"))
         scored = write_and_read(known.groupBy("pattern", "kind").agg(
-            (F.sum(F.col("n") * weight) / (F.first("total") + 1)).alias("confidence")), "scores")
-        weights = edges.where("fixed IS NULL").join(scored, ["pattern", "kind"]).groupBy("instance", "kind").agg(
-            (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-9)))))).alias("weight"))
+            (F.sum(F.col("n") * F.col("weight")) / (F.first("total") + 1)).alias("confidence")), "scores")
     words = edges.groupBy("pattern", "kind").agg(F.min("words").alias("words"), F.max("seeds").alias("seeds"))
     return scored.join(words, ["pattern", "kind"]).where(F.col("confidence") >= min_confidence).select(
         "pattern", "kind", "words", "confidence", "seeds")

@@ -75,16 +75,34 @@ def _tree(g: np.ndarray, h: np.ndarray, least: float) -> np.ndarray:
     return out
 
 
+def _best_columns(g: np.ndarray, h: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of sums per bin: what its best cut explains, and the cut; 0 for none."""
+    gt, ht = g.sum(1), h.sum(1)
+    alone = gt ** 2 / (ht + 1)
+    if g.shape[1] < 2:
+        return alone, np.zeros(len(g), int)
+    gl, hl = np.cumsum(g, 1)[:, :-1], np.cumsum(h, 1)[:, :-1]
+    gr, hr = gt[:, None] - gl, ht[:, None] - hl
+    both = np.where((hl < least) | (hr < least), -1.0, gl ** 2 / (hl + 1) + gr ** 2 / (hr + 1))
+    at = both.argmax(1)
+    best = both[np.arange(len(g)), at]
+    return np.maximum(best, alone), np.where(best > alone, at + 1, 0)
+
+
 def _pair_tree(g: np.ndarray, h: np.ndarray, least: float) -> tuple[float, np.ndarray]:
-    """(gain, values) of a tree with one cut on the first feature and one on the second in each part."""
-    out, gained = np.zeros_like(g), 0.0
-    gain, cut = _best_cut(g.sum(1), h.sum(1), least)
-    for part in (slice(0, cut), slice(cut, len(g))) if cut else (slice(0, len(g)),):
-        more, second = _best_cut(g[part].sum(0), h[part].sum(0), least)
-        gained += more
+    """(gain, values) of the best tree with a cut on the first feature and, in each part, one on the second. All first
+    cuts are tried: of an interaction alone, the first cut by itself explains nothing."""
+    out = np.zeros_like(g)
+    gl, hl = np.cumsum(g, 0), np.cumsum(h, 0)
+    low, low_cut = _best_columns(gl, hl, least)  # parts up to each bin; the last is everything
+    high, high_cut = _best_columns(gl[-1] - gl[:-1], hl[-1] - hl[:-1], least)
+    whole = np.append(low[:-1] + high, low[-1])
+    cut = int(whole.argmax())
+    parts = [(slice(0, cut + 1), low_cut[cut])] + ([(slice(cut + 1, len(g)), high_cut[cut])] if cut + 1 < len(g) else [])
+    for part, second in parts:
         for side in (slice(0, second), slice(second, g.shape[1])) if second else (slice(0, g.shape[1]),):
             out[part, side] = g[part, side].sum() / (h[part, side].sum() + 1)
-    return gain + gained, out
+    return float(whole[cut] - gl[-1].sum() ** 2 / (hl[-1].sum() + 1)), out
 
 
 @dataclass
