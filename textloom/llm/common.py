@@ -18,13 +18,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
+def bounded_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
     """Keep the batches sent to Python small in bytes, not only in rows. Values set by the caller stay if smaller."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     now = spark.conf.get(key, None)
     digits = "".join(c for c in str(now or "") if c.isdigit())
-    if now is None or not str(now).isdigit() or int(digits) > BATCH_BYTES:
-        spark.conf.set(key, str(BATCH_BYTES))
+    if now is None or not str(now).isdigit() or int(digits) > most:
+        spark.conf.set(key, str(most))
 
 
 def map_batches(df: DataFrame, fn: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | StructType) -> DataFrame:

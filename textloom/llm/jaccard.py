@@ -20,6 +20,8 @@ from textloom.cluster import fits_broadcast, shared_dir, write_and_read
 from textloom.llm.common import bounded_batches
 from textloom.llm.shingles import mixed, shingle_sets
 
+#: Bytes of text that a worker turns into shingles at a time; these take some thirty times as much.
+BATCH_BYTES = 4 * 1024 * 1024
 #: A shingle in at least this share of the documents, and in this many, is common.
 COMMON_SHARE = 0.005
 COMMON_DOCS = 5_000
@@ -319,7 +321,7 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, text_co
     are verified on the texts. Pairs within a component aren't enumerated: documents are compared with the most central
     one of their signature, and only what is then still apart directly.
     """
-    bounded_batches(df.sparkSession)
+    bounded_batches(df.sparkSession, BATCH_BYTES)
     shared_dir(df.sparkSession)
     docs = df.select(df[id_col].cast("bigint").alias("id"), df[text_col].cast("string").alias("text"))
     scan = write_and_read(_scan(docs, words), "scan")
