@@ -263,25 +263,25 @@ def _linked_ids(docs: DataFrame, sizes: DataFrame, heavy: np.ndarray, words: int
     alone = (F.col("df") > 0) & (F.col("unique") + F.col("before") < prefix)
     signed = write_and_read(rows.where(alone | (F.col("df") == -1)).select(
         "sig", "rep", "n",
-        F.when(F.col("df") > 0, F.col("before")).otherwise(F.col("n")).cast("long").alias("before"),
         F.when(F.col("df") > 0, F.col("n") - F.col("unique") - F.col("before") - 1).otherwise(F.col("n")).alias("after"),
     ).distinct(), "signed")
 
-    # the most central document of a signature, with fewest shingles before it, is compared with the others
+    # the most central document of a signature, with fewest shingles before it (most of them its own), is compared with the others
     under = Window.partitionBy("sig")
-    place = F.struct((F.col("n") - F.col("after")).alias("at"), "rep", "n", "before", "after")
+    place = F.struct((F.col("n") - F.col("after")).alias("at"), "rep", "n", "after")
     met = write_and_read(
         signed.withColumn("_low", F.min("rep").over(under)).withColumn("_high", F.max("rep").over(under))
         .withColumn("pivot", F.min(place).over(under)).where("_low < _high").drop("_low", "_high"), "met")
 
     def possible(x: str, y: str) -> Column:
+        # The first shingle that two documents share is in the prefixes of both, and none before it is shared. So it is
+        # enough to bring documents together where what is left behind the signature can still suffice.
         get = lambda side, c: F.col(f"{side}.{c}")
-        most = F.least(F.least(get(x, "before"), get(y, "before")) + 1 + F.least(get(x, "after"), get(y, "after")),
-                       get(x, "n"), get(y, "n"))
+        most = F.least(F.least(get(x, "after"), get(y, "after")) + 1, get(x, "n"), get(y, "n"))
         return _could_link(get(x, "n"), get(y, "n"), most, num)
 
     ordered = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
-    me = met.select("sig", F.struct("rep", "n", "before", "after").alias("x"), F.col("pivot").alias("y"))
+    me = met.select("sig", F.struct("rep", "n", "after").alias("x"), F.col("pivot").alias("y"))
     tried = write_and_read(me.where((F.col("x.rep") != F.col("y.rep")) & possible("x", "y")).select(
         *ordered(F.col("x.rep"), F.col("y.rep"))).distinct(), "pairs")
     links = write_and_read(_verified(tried, docs, words, num), "verified")
@@ -291,7 +291,7 @@ def _linked_ids(docs: DataFrame, sizes: DataFrame, heavy: np.ndarray, words: int
     # what is still apart in a signature is compared directly: all of it with all that isn't in its largest component
     labels = components(links)
     member = met.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "sig", F.struct("rep", "n", "before", "after", F.coalesce("label", "rep").alias("label")).alias("x"))
+        "sig", F.struct("rep", "n", "after", F.coalesce("label", "rep").alias("label")).alias("x"))
     member = write_and_read(member, "member")
     largest = Window.partitionBy("sig").orderBy(F.col("count").desc(), "label")
     main = member.groupBy("sig", F.col("x.label").alias("label")).count().withColumn(
