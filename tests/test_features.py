@@ -73,10 +73,12 @@ def test_lookup_join_beyond_the_limits(spark):
     assert fits_broadcast(lookup) and not fits_broadcast(lookup, rows=99) and not fits_broadcast(lookup, size=10)
     for how in ("inner", "left"):
         small = lookup_join(facts, lookup, ["k"], "id", how)
-        large = lookup_join(facts, lookup, ["k"], "id", how, rows=1)
+        large = lookup_join(facts, lookup, ["k"], "id", how, rows=1, heavy=100)
         assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
         assert "_salt" in large._jdf.queryExecution().executedPlan().toString()
         assert small.count() == large.count() and small.exceptAll(large.select(small.columns)).isEmpty()
+        plain = lookup_join(facts, lookup, ["k"], "id", how, rows=1)  # no key is heavy
+        assert small.exceptAll(plain.select(small.columns)).isEmpty() and small.count() == plain.count()
 
 
 def test_lemmas(spark):

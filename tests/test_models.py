@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from textloom.functions import with_tokens
 from textloom.operators.embed import fit_word2vec, mean_pool, word_vectors
 from textloom.operators.lemma import fit_lemmas, lemmatise
-from textloom.operators.split import fit_split
+from textloom.operators.split import fit_folds, fit_split
 from textloom.operators.vocabulary import fit_vocabulary
 from textloom.plans.registry import model_spec, register_model
 from textloom.plans.train import (
@@ -76,11 +76,32 @@ def test_grid_search_and_sweep(ready):
     assert swept.params["hidden"] == (8 if scores[0] >= scores[1] else 16)
 
 
+def test_sweep_points_are_different_models(ready):
+    _, _, _, data = ready
+    weights = []
+    for point in [{"hidden": h, "maxIter": m} for h in (8, 16) for m in (2, 6)]:
+        net = train_model("mlp", data, {"top": 60, **point}).stages[-1]
+        weights.append(tuple(net.stages[-1].weights.toArray()))
+    assert len(set(weights)) == 4
+    for name, wrong in (("mlp", {"stepSize": 0.1}), ("rf", {"maxDepth": 40})):
+        with pytest.raises(ValueError):
+            train_model(name, data, wrong)
+
+
+def test_copies_stay_in_one_fold(spark, ready):
+    split, train, vocab, _ = ready
+    copies = train.unionByName(train.withColumn("id", F.col("id") + 10_000))
+    rows = tfidf_data(copies, vocab, 6).rows
+    folds = fit_folds(rows, key_col="content_key", group_by_content=True).transform(rows, "fold")
+    for out in ("fold", "calibration_fold"):
+        assert folds.groupBy("content_key").agg(F.count_distinct(out).alias("n")).where("n > 1").isEmpty()
+
+
 def test_registry(ready, spark):
     _, _, _, data = ready
     with pytest.raises(ValueError, match="unknown model"):
         model_spec("nope")
-    assert [len(model_spec(n).points()) for n in ("svm", "rf", "gb", "cnb")] == [4, 18, 12, 3]
+    assert [len(model_spec(n).points()) for n in ("svm", "rf", "gb", "cnb")] == [4, 12, 12, 3]
     from pyspark.ml.classification import LogisticRegression
 
     register_model("lr", lambda p, d: LogisticRegression(maxIter=10, weightCol="weight"))

@@ -16,7 +16,7 @@ def write(path, text):
 
 def test_csv_headers_and_lookups(spark, tmp_path):
     path = write(tmp_path / "a.csv", ' Text ,EMOTION\n"hi, ""you""",joy\nyo,Joy\nline\none,\n"two\nlines",fear\n')
-    rows = load_labelled_csv(spark, path).collect()
+    rows = load_labelled_csv(spark, path, multi_line=True).collect()
     assert {(r.text, r.label, r.emotion) for r in rows} == {('hi, "you"', 1, "joy"), ("two\nlines", 4, "fear")}
 
 
@@ -26,6 +26,18 @@ def test_csv_label_only_keeps_unknown_ids(spark, tmp_path):
     assert {(r.text, r.label, r.emotion) for r in rows} == {("a", 0, "sadness"), ("b", 7, None)}
 
 
+def test_csv_labels_by_name_or_number(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "text,label\na, joy \nb,3.0\nc,\n,1\nd,-1\ne,2\n")
+    rows = load_labelled_csv(spark, path).collect()
+    assert {(r.text, r.label, r.emotion) for r in rows} == {("a", 1, "joy"), ("b", 3, "anger"), ("d", -1, None), ("e", 2, "love")}
+
+
+@pytest.mark.parametrize("label", ["bliss", "1.5", "99999999999"])
+def test_csv_other_labels_fail(spark, tmp_path, label):
+    with pytest.raises(PySparkException, match="neither a class name"):
+        load_labelled_csv(spark, write(tmp_path / "a.csv", f"text,label\na,joy\nb,{label}\n")).collect()
+
+
 @pytest.mark.parametrize("header", ["body,label", "text,class"])
 def test_csv_missing_columns(spark, tmp_path, header):
     with pytest.raises(ValueError):
@@ -41,7 +53,7 @@ def test_csv_roundtrip(spark, tmp_path):
     texts = ['a "q" b', "x,y", "two\nlines", "back\\slash", " padded "]
     df = spark.createDataFrame([(t, 1, "joy") for t in texts], "text string, label int, emotion string")
     write_labelled_csv(df, str(tmp_path / "out"))
-    assert sorted(r.text for r in load_labelled_csv(spark, str(tmp_path / "out")).collect()) == sorted(texts)
+    assert sorted(r.text for r in load_labelled_csv(spark, str(tmp_path / "out"), multi_line=True).collect()) == sorted(texts)
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "json", "csv"])

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 # Limits below which a table may be sent whole to every executor.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 128 * 1024 * 1024
-SALTS = 32
+# Rows of a key beyond which it is dealt out to several tasks, one for each so many rows.
+HEAVY_ROWS = 1_000_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -67,15 +68,21 @@ def lookup_join(
     how: str = "inner",
     rows: int = BROADCAST_ROWS,
     size: int = BROADCAST_BYTES,
+    heavy: int = HEAVY_ROWS,
 ) -> DataFrame:
     """Join to a table whose key is unique.
 
-    A lookup within the limits is broadcast. A larger one is shuffled on key + salt: facts are
-    salted by `spread_by` and the lookup is repeated per salt, so a key held by a third of the
-    facts still spreads over SALTS tasks.
+    A lookup within the limits is broadcast. With a larger one both sides are shuffled on the key. Keys of more than
+    `heavy` facts, found by counting, get a salt as well: their facts are dealt out by `spread_by`, a task for each
+    `heavy` of them, and only their lookup rows are repeated.
     """
     if fits_broadcast(lookup, rows, size):
         return facts.join(F.broadcast(lookup), on, how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    repeated = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hot = materialise(facts.groupBy(*on).agg(F.ceil(F.count("*") / heavy).cast("int").alias("_parts")).where("_parts > 1"))
+    if hot.isEmpty():
+        return facts.join(lookup, on, how)
+    hot = F.broadcast(hot) if fits_broadcast(hot) else hot  # at most a key for each `heavy` facts
+    parts = F.coalesce("_parts", F.lit(1))
+    salted = facts.join(hot, on, "left").withColumn("_salt", F.pmod(F.xxhash64(spread_by), parts).cast("int")).drop("_parts")
+    repeated = lookup.join(hot, on, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")

@@ -110,12 +110,14 @@ FOLDS = 5
 # Hyper-parameter grids.
 GRIDS = {
     "svm": {"C": [0.1, 1.0, 5.0, 10.0]},
-    "rf": {"numTrees": [100, 200, 300], "maxDepth": [None, 20, 40], "minSplit": [2, 5]},
+    # Spark's trees end at depth 30, which stands for unlimited and for 40.
+    "rf": {"numTrees": [100, 200, 300], "maxDepth": [30, 20], "minSplit": [2, 5]},
     "gb": {"maxIter": [100, 150], "stepSize": [0.05, 0.1, 0.2], "maxDepth": [3, 5]},
     "mlp": {},
     "cnb": {"alpha": [0.1, 0.5, 1.0]},
 }
 SWEEP_HIDDEN = [64, 128]
+SWEEP_ITERATIONS = [50, 100]
 
 TOP_WORDS = 80
 LENGTH_BINS = 40

@@ -6,9 +6,10 @@ the words the corpus itself uses in `min_df` documents or more. Verb forms are t
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from textloom.cluster import lookup_join, materialise
+from textloom.cluster import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast, lookup_join, materialise
 from textloom.fixed_values import IRREGULAR_FORMS, NOUN_SUFFIXES, VERB_SUFFIXES
 
 
@@ -47,8 +48,22 @@ def lemmatise(
 ) -> DataFrame:
     """Replace tokens by their lemmas in order, then drop what became too short.
 
-    `lemmas` should be materialised. Rows are taken apart and put together again by id: one shuffle.
+    `lemmas` should be materialised. A table within the limits of a broadcast is looked up in the row, by Arrow batch.
+    A larger one is joined: rows are taken apart and put together again by id, and their other columns stay behind.
     """
+    if fits_broadcast(lemmas, limits.get("rows", BROADCAST_ROWS), limits.get("size", BROADCAST_BYTES)):
+        known = {r["token"]: r["lemma"] for r in lemmas.select("token", "lemma").collect()}
+        shared = df.sparkSession.sparkContext.broadcast(known)
+
+        @F.pandas_udf("array<string>")
+        def look_up(rows: pd.Series) -> pd.Series:
+            get = shared.value.get
+            return rows.map(lambda ts: [w for w in (get(t, t) for t in ts) if len(w) >= min_token_len])
+
+        return df.withColumn(tokens_col, look_up(tokens_col)).select(*df.columns)
+    if set(df.columns) - {id_col, tokens_col}:
+        slim = lemmatise(df.select(id_col, tokens_col), lemmas, id_col, tokens_col, min_token_len, **limits)
+        return df.drop(tokens_col).join(slim, id_col).select(*df.columns)
     others = [c for c in df.columns if c not in (id_col, tokens_col)]
     rows = df.select(id_col, *others, F.posexplode_outer(tokens_col).alias("_pos", "token"))
     found = lookup_join(rows, lemmas, ["token"], id_col, "left", **limits)

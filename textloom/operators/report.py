@@ -40,13 +40,14 @@ def probability_map(probability: Column | str, labels: Sequence[str] = EMOTIONS)
 
 
 def ranked_probabilities(
-    df: DataFrame, labels: Sequence[str] = EMOTIONS, id_col: str = "id", probability_col: str = "probability"
+    df: DataFrame, labels: Sequence[str] = EMOTIONS, id_col: str = "id", probability_col: str = "probability",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """id, rank, emotion, probability, by probability; lower class id first on ties. Sorted in the row."""
+    """id, keep..., rank, emotion, probability, by probability; lower class id first on ties. Sorted in the row."""
     pairs = F.transform(probability_col, lambda p, i: F.struct((-p).alias("p"), i.alias("label")))
-    ranked = df.select(id_col, F.posexplode_outer(F.sort_array(pairs)).alias("rank", "x"))
+    ranked = df.select(id_col, *keep, F.posexplode_outer(F.sort_array(pairs)).alias("rank", "x"))
     return ranked.select(
-        id_col, (F.col("rank") + 1).alias("rank"),
+        id_col, *keep, (F.col("rank") + 1).alias("rank"),
         F.get(F.array(*map(F.lit, labels)), F.col("x.label")).alias("emotion"),
         (-F.col("x.p")).alias("probability"))
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from fractions import Fraction
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from textloom.cluster import lookup_join, materialise
 from textloom.fixed_values import FOLDS, HOLDOUT_SIZE, SEED, TEST_SIZE, VAL_SIZE
@@ -72,13 +72,17 @@ class SplitModel:
     key_col: str
     seed: int
     by_content: bool
+    limits: dict | None = None  # of `lookup_join`
 
     def transform(self, df: DataFrame, out: str = "split") -> DataFrame:
         df = df.withColumn("_key", order_key(self.key_col, self.seed))
         df = df.withColumn("_stratum", F.col(self.label_col))
         if self.conflicts is not None:
-            df = lookup_join(df, self.conflicts, ["_key"], self.key_col, "left").withColumn(
-                "_stratum", F.coalesce("_agreed", F.col("_stratum"))).drop("_agreed")
+            # Copies share their content, so they are spread by all their other columns.
+            plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType) and f.name != "_key"]
+            df = df.withColumn("_row", F.xxhash64(*plain))
+            df = lookup_join(df, self.conflicts, ["_key"], "_row", "left", **(self.limits or {})).withColumn(
+                "_stratum", F.coalesce("_agreed", F.col("_stratum"))).drop("_agreed", "_row")
         # One row per class, at most MAX_CLASSES.
         df = df.join(F.broadcast(self.thresholds), "_stratum", "left")
         here = F.struct(F.col("_key").alias("key"), _tie(self.key_col, self.by_content).alias("tie"))

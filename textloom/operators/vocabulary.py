@@ -6,10 +6,12 @@ from dataclasses import dataclass
 from fractions import Fraction
 from math import floor
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from textloom.cluster import lookup_join, materialise, scratch_path, write_and_read
+from textloom.cluster import materialise, scratch_path, write_and_read
 from textloom.fixed_values import MAX_DF, MAX_FEATURES, MIN_DF, NGRAM_RANGE
 from textloom.functions.cleaning import clean_text
 from textloom.functions.terms import feature_tokens, ngrams, term_counts
@@ -45,6 +47,7 @@ class Vocabulary:
     n_docs: int
     size: int
     ngram_range: tuple[int, int] = NGRAM_RANGE
+    sublinear_tf: bool = True  # 1 + ln(tf) instead of tf
 
     def feature_names(self) -> DataFrame:
         return self.table.select("idx", "term")
@@ -79,6 +82,7 @@ def fit_vocabulary(
     ngram_range: tuple[int, int] = NGRAM_RANGE,
     min_df: int = MIN_DF,
     max_df: str = MAX_DF,
+    sublinear_tf: bool = True,
 ) -> Vocabulary:
     """Terms within the df limits, the `max_features` most counted of them, with smoothed idf."""
     n_docs = df.count()
@@ -92,35 +96,45 @@ def fit_vocabulary(
         .withColumn("idx", (F.row_number().over(by_term) - 1).cast("int"))
         .withColumn("idf", F.log(F.lit(1.0 + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
     )
-    return Vocabulary(table, n_docs, table.count(), ngram_range)
+    return Vocabulary(table, n_docs, table.count(), ngram_range, sublinear_tf)
 
 
-def _weighted(
-    df: DataFrame, vocab: Vocabulary, keep: list[str], id_col: str, tokens_col: str, how: str, name: str
-) -> DataFrame:
-    """One row per document: cells array<struct<name, w>> with L2-normed weights, by name: idx or term.
+def _weights(known: dict, sublinear: bool, terms, counts) -> tuple[np.ndarray, np.ndarray]:
+    """Indices and L2-normed weights of one document's known terms, by index."""
+    found = sorted((*known[t], n) for t, n in zip(terms, counts) if t in known)
+    if not found:
+        return np.zeros(0, np.int32), np.zeros(0)
+    idx, idf, tf = (np.array(x) for x in zip(*found))
+    w = (1.0 + np.log(tf) if sublinear else tf) * idf
+    return idx.astype(np.int32), w / np.sqrt(w.dot(w))
 
-    Terms outside the vocabulary are dropped in the join. The only shuffle is the regrouping by id.
-    """
-    terms = term_rows(df, keep, tokens_col, vocab.ngram_range)
-    cells = lookup_join(terms, vocab.table.select("term", "idx", "idf"), ["term"], id_col, how)
-    w = (F.lit(1.0) + F.log("tf")) * F.col("idf")
-    others = [c for c in keep if c != id_col]
-    rows = cells.withColumn("w", w).groupBy(id_col).agg(
-        *[F.any_value(c).alias(c) for c in others],
-        F.sort_array(F.collect_list(F.when(F.col("idx").isNotNull(), F.struct(name, "w")))).alias("cells"),
-        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"),
-    )
-    normed = F.transform("cells", lambda c: c.withField("w", c["w"] / F.col("_norm")))
-    return rows.withColumn("cells", normed).drop("_norm")
+
+def weighed(df: DataFrame, vocab: Vocabulary, tokens_col: str = "tokens", out: str = "cells") -> DataFrame:
+    """Adds struct<indices, values>, looked up in the row: a vocabulary has at most `max_features` terms, so it is sent
+    to every worker, and documents are neither taken apart nor shuffled. Terms outside it are dropped."""
+    known = {r["term"]: (r["idx"], r["idf"]) for r in vocab.table.select("term", "idx", "idf").collect()}
+    shared = df.sparkSession.sparkContext.broadcast(known)
+    sublinear = vocab.sublinear_tf
+
+    @F.pandas_udf("struct<indices:array<int>,values:array<double>>")
+    def weigh(terms: pd.Series, counts: pd.Series) -> pd.DataFrame:
+        rows = [_weights(shared.value, sublinear, t, n) for t, n in zip(terms, counts)]
+        return pd.DataFrame({"indices": [i for i, _ in rows], "values": [w for _, w in rows]})
+
+    counted = df.withColumn("_counts", term_counts(terms_of(tokens_col, vocab.ngram_range)))
+    return counted.withColumn(out, weigh("_counts.term", "_counts.tf")).drop("_counts")
 
 
 def tfidf_rows(
-    df: DataFrame, vocab: Vocabulary, id_col: str = "id", tokens_col: str = "tokens"
+    df: DataFrame, vocab: Vocabulary, id_col: str = "id", tokens_col: str = "tokens", keep: list[str] | None = None
 ) -> DataFrame:
-    """id, term, weight; documents without a known term have no rows."""
-    rows = _weighted(df, vocab, [id_col], id_col, tokens_col, "inner", "term")
-    return rows.select(id_col, F.inline_outer("cells")).select(id_col, "term", F.col("w").alias("weight"))
+    """id, keep..., term, weight; documents without a known term have no rows."""
+    keep = keep or []
+    cells = weighed(df.select(id_col, *keep, tokens_col), vocab, tokens_col)
+    rows = cells.select(id_col, *keep, F.inline_outer(F.arrays_zip("cells.indices", "cells.values")))
+    rows = rows.toDF(id_col, *keep, "idx", "weight").where(F.col("idx").isNotNull())
+    names = F.broadcast(vocab.feature_names())  # at most max_features rows
+    return rows.join(names, "idx").select(id_col, *keep, "term", "weight")
 
 
 def tfidf_vectors(
@@ -131,12 +145,12 @@ def tfidf_vectors(
     Iterative training reads its input many times, so it is written once. The stored struct is what
     a vector column consists of, and reading it back as one needs no per-row Python.
     """
-    rows = _weighted(df, vocab, keep, id_col, tokens_col, "left", "idx")
+    rows = weighed(df.select(*dict.fromkeys([*keep, tokens_col])), vocab, tokens_col)
     features = F.struct(
         F.lit(0).cast("tinyint").alias("type"),
         F.lit(vocab.size).alias("size"),
-        F.transform("cells", lambda c: c["idx"]).alias("indices"),
-        F.transform("cells", lambda c: c["w"]).alias("values"),
+        F.col("cells.indices").alias("indices"),
+        F.col("cells.values").alias("values"),
     )
     stored = rows.select(*keep, features.alias("features"))
     path = scratch_path(df.sparkSession, "features")

@@ -285,7 +285,9 @@ cv_f1 AS (SELECT grid_idx, alpha, fold, avg(f1) AS score FROM (
 
 def edge_docs() -> str:
     cases = array(EDGE_CASES)
-    return f"""WITH edge AS (SELECT doc_id AS id, {cases}[doc_id % {len(EDGE_CASES)} + 1] || text AS text FROM documents),
+    return f"""WITH alone AS (SELECT list_concat({cases}, ['', NULL]) AS texts),
+edge AS (SELECT doc_id AS id, {cases}[doc_id % {len(EDGE_CASES)} + 1] || text AS text FROM documents
+  UNION ALL SELECT (-i)::BIGINT, texts[i] FROM alone, range(1, {len(EDGE_CASES) + 3}) r(i)),
 n AS (SELECT id, {normalise('text')} AS cleaned FROM edge)"""
 
 
@@ -294,6 +296,11 @@ def oracle_sql() -> dict[str, str]:
     sql: dict[str, str] = {}
 
     sql["load_labelled"] = f"WITH {DOCS} SELECT id, text, label, emotion FROM docs WHERE emotion IN ('en', 'fr', 'de')"
+    sql["load_labelled_names"] = f"WITH {DOCS} SELECT id, label, emotion FROM named" .replace(
+        "named", f"(SELECT id, label, {name_of('label')} AS emotion FROM docs WHERE id % 4 < 3)")
+    sql["line_files"] = f"""SELECT regexp_replace(part, {STRIP}, '', 'g') AS text, role AS expected FROM (
+  SELECT role, unnest(regexp_split_to_array(text, '\\r\\n|\\n|\\r')) AS part FROM conversations WHERE role IN ('user', 'assistant', 'system'))
+WHERE regexp_replace(part, {STRIP}, '', 'g') <> ''"""
     sql["union_splits"] = f"""SELECT text, label::INT AS label, {name_of('label')} AS emotion FROM (
   SELECT text, {label_of('lang')} AS label FROM documents UNION ALL SELECT text, {role} FROM conversations
   UNION ALL SELECT text, item_id % 6 FROM benchmark)"""
@@ -354,7 +361,9 @@ train AS (SELECT toks.* FROM toks JOIN id_split USING (id) WHERE split = 'train'
 {grams('train', 'tc')}, {vocabulary('tc', 'vocab', 'train')}"""
     sql["tfidf_fit_transform"] = f"WITH {fitted} {tfidf('tc', 'vocab')}"
     sql["tfidf_transform"] = f"""WITH {fitted}, bench AS (SELECT item_id AS id, text FROM benchmark),
-{tokenised('bench', 'btoks')}, {grams('btoks', 'btc')} {tfidf('btc', 'vocab')}"""
+{tokenised('bench', 'btoks')}, {grams('btoks', 'btc')}, {grams('toks', 'atc')},
+a AS ({tfidf('atc', 'vocab')}), b AS ({tfidf('btc', 'vocab')})
+SELECT id, split, term, weight FROM a JOIN id_split USING (id) UNION ALL SELECT id, 'benchmark', term, weight FROM b"""
     sql["embed_mean_pool"] = f"""WITH {TOKS}, placed AS (SELECT id, unnest(tokens) AS token FROM toks),
 w AS (SELECT token, ('0x' || substr(md5(token || ':42:vec'), 1, 8))::BIGINT % (SELECT count(*) FROM embeddings) AS vec_id
   FROM placed GROUP BY token HAVING count(DISTINCT id) >= 2),
@@ -386,16 +395,16 @@ FROM pred JOIN corpus USING (id)"""
 turns AS (SELECT conv_id || '/' || turn || '/' || line_no AS id, line AS text FROM lines),
 {tokenised('turns', 'tt')}, {grams('tt', 'ttc')}, {nb_scored('tt', 'ttc', 'ts')}, {nb_predicted('ts', 'tp')}
 SELECT id, {name_of('prediction')} AS emotion, round(max(p), 6) AS top_probability FROM tp JOIN tp_q USING (id) GROUP BY id, prediction"""
-    sql["argmax_class"] = f"""WITH {NB}, tst AS (SELECT * FROM corpus WHERE split = 'test'), {nb_scored('tst', 'tc', 'scored')}
-SELECT id, min(class) AS label FROM (SELECT *, max(score) OVER (PARTITION BY id) AS top FROM scored)
-WHERE score = top GROUP BY id"""
-    sql["ranked_probabilities"] = f"""WITH {PREDICTED} SELECT id, (row_number() OVER (PARTITION BY id ORDER BY p DESC, class))::INT AS rank,
-  {name_of('class')} AS emotion, round(p, 6) AS probability FROM pred_q JOIN corpus USING (id) WHERE split = 'test'"""
-    sql["onehot_fallback"] = f"""WITH {PREDICTED} SELECT id, classes.label, CASE WHEN predicted = classes.label THEN 1.0::DOUBLE ELSE 0.0 END AS p
-FROM outcome, classes WHERE split = 'test'"""
-    sql["scored_report"] = f"""WITH {PREDICTED} SELECT c.id, {preview('c.text')} AS preview, {name_of('prediction')} AS predicted,
+    sql["argmax_class"] = f"""WITH {NB}, {nb_scored('corpus', 'tc', 'scored')}
+SELECT id, any_value(split) AS split, min(class) AS label FROM (
+  SELECT *, max(score) OVER (PARTITION BY id) AS top FROM scored) JOIN corpus USING (id) WHERE score = top GROUP BY id"""
+    sql["ranked_probabilities"] = f"""WITH {PREDICTED} SELECT id, split, (row_number() OVER (PARTITION BY id ORDER BY p DESC, class))::INT AS rank,
+  {name_of('class')} AS emotion, round(p, 6) AS probability FROM pred_q JOIN corpus USING (id)"""
+    sql["onehot_fallback"] = f"""WITH {PREDICTED} SELECT id, split, classes.label, CASE WHEN predicted = classes.label THEN 1.0::DOUBLE ELSE 0.0 END AS p
+FROM outcome, classes"""
+    sql["scored_report"] = f"""WITH {PREDICTED} SELECT c.id, c.split, {preview('c.text')} AS preview, {name_of('prediction')} AS predicted,
   round(coalesce(p, 0.0) * 100, 1) AS confidence_pct, {name_of('prediction')} = c.emotion AS hit
-FROM corpus c JOIN pred USING (id) LEFT JOIN pred_q ON pred_q.id = c.id AND class = prediction WHERE split = 'test'"""
+FROM corpus c JOIN pred USING (id) LEFT JOIN pred_q ON pred_q.id = c.id AND class = prediction"""
 
     sql["confusion_matrix"] = f"""WITH {HELD_OUT},
 cell AS (SELECT s.split, a.label AS actual, p.predicted, (SELECT count(*) FROM held h

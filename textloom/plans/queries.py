@@ -25,7 +25,7 @@ from textloom.plans.corpus import (
     LANGS, cleaned_documents, content_split, documents, folded_train, naive_bayes, table,
 )
 from textloom.sources.labelled import load_labelled_csv, union_splits as union_of_splits, write_labelled_csv
-from textloom.sources.lines import line_rows
+from textloom.sources.lines import line_rows, read_line_files
 from textloom.sources.synthetic import synthetic_corpus as generate
 from textloom.streaming.score import running_accuracy
 
@@ -48,10 +48,31 @@ def load_labelled(spark, sf_dir):
     raw = documents(spark, sf_dir).select(
         F.col("id").alias(" ID"), F.col("text").alias(" Text "), F.col("emotion").alias("EMOTION "))
     raw.write.csv(path, header=True, escape='"')
-    df = load_labelled_csv(spark, path, ["en", "fr", "de"])
+    df = load_labelled_csv(spark, path, ["en", "fr", "de"], multi_line=True)
     return df.select(F.col("id").cast("bigint").alias("id"), "text", "label", "emotion")
 
 
+@query
+def load_labelled_names(spark, sf_dir):
+    """Labels as names, whole numbers and decimals in one column; only true nulls go."""
+    path = scratch_path(spark, "labelled")
+    number = F.col("label").cast("string")
+    text = F.when(F.pmod("id", F.lit(4)) == 0, F.col("emotion")).when(F.pmod("id", F.lit(4)) == 1, number).when(
+        F.pmod("id", F.lit(4)) == 2, F.concat(F.lit(" "), number, F.lit(".0 ")))
+    documents(spark, sf_dir).select("id", "text", text.alias("Label")).write.csv(path, header=True, escape='"')
+    df = load_labelled_csv(spark, path, LANGS, multi_line=True)
+    return df.select(F.col("id").cast("bigint").alias("id"), "label", "emotion")
+
+
+@query
+def line_files(spark, sf_dir):
+    """Text files of the turns of each role, read back as lines with the role from their name."""
+    path = scratch_path(spark, "lines")
+    for role in ("user", "assistant", "system"):
+        table(spark, sf_dir, "conversations").where(F.col("role") == role).select("text").write.text(f"{path}/{role}_samples")
+    return read_line_files(spark, f"{path}/*")
+
+
 @query
 def union_splits(spark, sf_dir):
     roles = ["user", "assistant", "system"]
@@ -77,7 +98,7 @@ def line_source(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "roundtrip")
     write_labelled_csv(documents(spark, sf_dir).select("id", "text", "label", "emotion"), path)
-    df = load_labelled_csv(spark, path, LANGS)
+    df = load_labelled_csv(spark, path, LANGS, multi_line=True)
     return df.select(F.col("id").cast("bigint").alias("id"), "text", "label", "emotion")
 
 
@@ -123,10 +144,13 @@ EDGE_CASES = [
 
 
 def decorated(spark, sf_dir):
-    """Documents, each with a hard case put in front: the tables themselves hold few of them."""
+    """Documents, each with a hard case put in front: the tables themselves hold few of them. And each case alone, with
+    an empty and a null text, under ids from -1 down."""
     cases = F.array(*map(F.lit, EDGE_CASES))
     case = F.get(cases, F.pmod("id", F.lit(len(EDGE_CASES))).cast("int"))
-    return spread(documents(spark, sf_dir)).select("id", F.concat(case, "text").alias("text"))
+    alone = [(-1 - k, text) for k, text in enumerate([*EDGE_CASES, "", None])]
+    return spread(documents(spark, sf_dir)).select("id", F.concat(case, "text").alias("text")).union(
+        spark.createDataFrame(alone, "id bigint, text string"))
 
 
 @query
@@ -213,8 +237,7 @@ def feature_tokens(spark, sf_dir):
 @query
 def ngrams_1_2(spark, sf_dir):
     docs = with_tokens(spread(documents(spark, sf_dir)))
-    return docs.select("id", F.explode_outer(terms_of("tokens")).alias("term")).where("term IS NOT NULL").groupBy(
-        "id", "term").agg(F.count("*").alias("tf"))
+    return term_rows(docs, ["id"]).where("term IS NOT NULL").select("id", "term", F.col("tf").cast("bigint").alias("tf"))
 
 
 @query
@@ -242,10 +265,13 @@ def tfidf_fit_transform(spark, sf_dir):
 
 @query
 def tfidf_transform(spark, sf_dir):
-    """Fitted on the train split, applied to the texts of another table."""
-    vocab = fit_vocabulary(_train_rows(spark, sf_dir))
+    """Fitted on the train split, applied to all splits and to the texts of another table in one pass."""
+    corpus = cleaned_documents(spark, sf_dir)
+    corpus = fit_split(corpus).transform(corpus).select("id", "tokens", "split")
+    vocab = fit_vocabulary(corpus.where("split = 'train'"))
     unseen = with_tokens(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text"))
-    return tfidf_rows(unseen, vocab).select("id", "term", F.round("weight", 6).alias("weight"))
+    rows = corpus.unionByName(unseen.select("id", "tokens", F.lit("benchmark").alias("split")))
+    return tfidf_rows(rows, vocab, keep=["split"]).select("id", "split", "term", F.round("weight", 6).alias("weight"))
 
 
 @query
@@ -274,7 +300,7 @@ def split_sizes(spark, sf_dir):
     """Split by content: copies stay together."""
     corpus = cleaned_documents(spark, sf_dir)
     return content_split(corpus).transform(corpus).groupBy("split", "emotion").agg(
-        F.count("*").alias("n_rows"), F.count_distinct("content").alias("n_contents"))
+        F.count("*").alias("n_rows"), F.count_distinct(F.md5("content")).alias("n_contents"))
 
 
 def _train_ids(spark, sf_dir):
@@ -323,27 +349,27 @@ def score_unknown(spark, sf_dir):
 
 @query
 def argmax_class(spark, sf_dir):
-    return naive_bayes(spark, sf_dir).scores("test").select("id", argmax("scores").alias("label"))
+    return naive_bayes(spark, sf_dir).scores().select("id", "split", argmax("scores").alias("label"))
 
 
 @query
 def ranked_probabilities(spark, sf_dir):
-    ranked = rank_probabilities(naive_bayes(spark, sf_dir).predictions("test"), LANGS)
-    return ranked.select("id", "rank", "emotion", F.round("probability", 6).alias("probability"))
+    ranked = rank_probabilities(naive_bayes(spark, sf_dir).predictions(), LANGS, keep=["split"])
+    return ranked.select("id", "split", "rank", "emotion", F.round("probability", 6).alias("probability"))
 
 
 @query
 def onehot_fallback(spark, sf_dir):
-    rows = naive_bayes(spark, sf_dir).predictions("test")
-    return rows.select("id", F.posexplode_outer(one_hot("prediction", len(LANGS))).alias("label", "p"))
+    rows = naive_bayes(spark, sf_dir).predictions()
+    return rows.select("id", "split", F.posexplode_outer(one_hot("prediction", len(LANGS))).alias("label", "p"))
 
 
 @query
 def scored_report(spark, sf_dir):
     run = naive_bayes(spark, sf_dir)
-    rows = run.predictions("test").join(run.corpus.select("id", "text"), "id")
+    rows = run.predictions().join(run.corpus.select("id", preview("text").alias("preview")), "id")
     return rows.select(
-        "id", preview("text").alias("preview"), predicted_name("prediction", LANGS).alias("predicted"),
+        "id", "split", "preview", predicted_name("prediction", LANGS).alias("predicted"),
         F.round(confidence("probability", "prediction") * 100, 1).alias("confidence_pct"),
         (predicted_name("prediction", LANGS) == F.col("emotion")).alias("hit"))
 

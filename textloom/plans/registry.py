@@ -63,9 +63,11 @@ def _svm_calibrated(params: Mapping, data: TrainingData) -> list:
 
 
 def _forest(params: Mapping, data: TrainingData) -> Estimator:
-    depth = params.get("maxDepth")
+    depth = params.get("maxDepth", DEEPEST)
+    if depth is None or depth > DEEPEST:
+        raise ValueError(f"maxDepth {depth}: trees go no deeper than {DEEPEST} here, so name a depth up to that")
     return RandomForestClassifier(
-        numTrees=params.get("numTrees", 200), maxDepth=min(depth or DEEPEST, DEEPEST),
+        numTrees=params.get("numTrees", 200), maxDepth=depth,
         # A node is split from minSplit rows on; Spark bounds the children instead.
         minInstancesPerNode=max(1, params.get("minSplit", 5) // 2),
         weightCol="weight", seed=SEED, maxMemoryInMB=512)
@@ -81,9 +83,11 @@ def _boosting(params: Mapping, data: TrainingData) -> Estimator:
 
 def _perceptron(params: Mapping, data: TrainingData) -> Estimator:
     top, hidden = min(params.get("top", 1_000), data.size), params.get("hidden", 128)
+    # The solver is l-bfgs, which has no step size: naming one is an error rather than a setting without effect.
+    if "stepSize" in params:
+        raise ValueError("stepSize has no effect on this net: vary hidden or maxIter")
     net = MultilayerPerceptronClassifier(
-        layers=[top, hidden, hidden // 2, data.classes], featuresCol="reduced", maxIter=params.get("maxIter", 100),
-        stepSize=params.get("stepSize", 0.03), seed=SEED)
+        layers=[top, hidden, hidden // 2, data.classes], featuresCol="reduced", maxIter=params.get("maxIter", 100), seed=SEED)
     return Pipeline(stages=[reduced(top), net])
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from textloom.fixed_values import EMOTIONS
 from textloom.operators.lookups import id_to_name, name_to_id
@@ -14,8 +14,24 @@ COLUMNS = ["text", "label", "emotion"]
 SPLIT_NAMES = ["train", "validation", "test"]
 
 
+def read_labels(label: Column, labels: Sequence[str]) -> Column:
+    """Class ids from text: a class name, or a whole number in any notation (3, 3.0). Null and blank stay null;
+    anything else fails the job, so no row is lost without a word."""
+    text = F.trim(label)
+    number = F.expr("try_cast(trim(label) AS double)")
+    message = F.concat(F.lit("neither a class name nor a whole number: "), label)
+    return (
+        F.when(label.isNull() | (text == ""), F.lit(None).cast("int"))
+        .when(name_to_id(text, labels).isNotNull(), name_to_id(text, labels))
+        .when((number == F.floor(number)) & (F.abs(number) < 2 ** 31), number.cast("int"))
+        .otherwise(F.raise_error(message).cast("int"))
+    )
+
+
 def _complete(df: DataFrame, labels: Sequence[str]) -> DataFrame:
     """Derive whichever of label and emotion is missing, drop rows without text or label."""
+    if dict(df.dtypes).get("label") == "string":
+        df = df.withColumn("label", read_labels(F.col("label"), labels))
     if "label" not in df.columns:
         df = df.withColumn("label", name_to_id("emotion", labels))
     if "emotion" not in df.columns:
@@ -38,12 +54,13 @@ def load_labelled_csv(
     spark: SparkSession,
     path: str,
     labels: Sequence[str] = EMOTIONS,
-    multi_line: bool = True,
+    multi_line: bool = False,
     null_value: str | None = None,
 ) -> DataFrame:
     """Header in any case and padding; every column is read as text, so there is no inference pass.
 
-    `multi_line=False` lets Spark split large files, for data without line breaks in fields.
+    `label` holds class names or whole numbers. Spark splits large files; pass `multi_line=True` where fields hold line
+    breaks, and every file is one task.
     Carried columns: text, label, emotion, and id where the file has one.
     """
     options = {"header": True, "multiLine": multi_line, "escape": '"'}
@@ -52,8 +69,6 @@ def load_labelled_csv(
     df = normalise_header(spark.read.csv(path, **options))
     check_columns(df)
     df = _complete(df, labels)
-    if dict(df.dtypes)["label"] == "string":
-        df = df.withColumn("label", F.expr("try_cast(trim(label) as int)")).dropna(subset=["label"])
     keep = (["id"] if "id" in df.columns else []) + COLUMNS
     return df.select(*keep)
 
@@ -71,12 +86,13 @@ def union_splits(splits: Mapping[str, DataFrame], labels: Sequence[str] = EMOTIO
 
 
 def load_splits(
-    spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", labels: Sequence[str] = EMOTIONS
+    spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", labels: Sequence[str] = EMOTIONS,
+    multi_line: bool = False,
 ) -> DataFrame:
     schema = T.StructType([T.StructField("text", T.StringType()), T.StructField("label", T.LongType())])
     reader = spark.read.schema(schema)
     if fmt == "csv":
-        reader = reader.options(header=True, multiLine=True, escape='"')
+        reader = reader.options(header=True, multiLine=multi_line, escape='"')
     return union_splits({n: reader.format(fmt).load(p) for n, p in paths.items()}, labels).select(*COLUMNS)
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textloom.fixed_values import LINE_END, WHITE_SPACE
 
-CLASS_OF_FILE = r"^(.*)_samples"
+#: Of a file, or of a folder that Spark wrote in place of one.
+CLASS_OF_FILE = r"([^/]*)_samples[^/]*(?:/[^/]*)?$"
 
 
 def strip(text: Column) -> Column:
@@ -18,13 +19,13 @@ def _lines(df: DataFrame) -> DataFrame:
     return (
         df.select(
             strip(F.col("value")).alias("text"),
-            F.nullif(F.regexp_extract(F.col("_metadata.file_name"), CLASS_OF_FILE, 1), F.lit("")).alias("expected"),
+            F.nullif(F.regexp_extract(F.col("_metadata.file_path"), CLASS_OF_FILE, 1), F.lit("")).alias("expected"),
         ).where(F.col("text") != "")
     )
 
 
 def read_line_files(spark: SparkSession, path: str) -> DataFrame:
-    """All files in one scan; the expected class is the part of the file name before `_samples`."""
+    """All files in one scan; the expected class is the part of the file or folder name before `_samples`."""
     return _lines(spark.read.text(path))
 
 

@@ -20,7 +20,7 @@ TEMPLATES = {
     "fear": ["The dark stairs made me {}.", "I am {} of what the doctor will say.",
              "A {} noise came from the cellar."],
     "surprise": ["I was {} by the ending!", "A {} visitor stood at the door.",
-                 "The result left everyone {}."],
+                 "Nobody saw that coming, we were {}."],
 }
 FILLS = {
     "sadness": ["empty", "gloomy", "tearful", "hollow"],
