@@ -18,6 +18,10 @@ from textloom.cluster import write_and_read
 from textloom.operators.stages import MarginProbability
 
 
+# Of the usual linear SVM; with the far smaller one of Spark, hinge loss goes on for thousands of passes.
+TOLERANCE = 1e-4
+
+
 def fit_binary(df: DataFrame, classifier: Estimator, prefix: str, parallelism: int) -> list[Transformer]:
     """A model per class; model c writes the columns {prefix}_{c} (margins) and {prefix}_{c}_class."""
     weighted = classifier.hasParam("weightCol") and classifier.isSet("weightCol")
@@ -53,7 +57,8 @@ class OneVsRestMargins(Estimator):
 
 def linear_svc(c: float, rows: int, max_iter: int) -> LinearSVC:
     """Loss is averaged over rows here, so the penalty is 1 / (C * rows)."""
-    return LinearSVC(maxIter=max_iter, regParam=1.0 / (c * rows), standardization=False, weightCol="weight")
+    return LinearSVC(
+        maxIter=max_iter, tol=TOLERANCE, regParam=1.0 / (c * rows), standardization=False, weightCol="weight")
 
 
 def fit_platt(margins: DataFrame, classes: int) -> list[tuple[float, float]]:

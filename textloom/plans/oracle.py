@@ -6,9 +6,11 @@ whole class, so that the two sides share definitions but not methods.
 
 from __future__ import annotations
 
+from itertools import product
+
 from textloom.fixed_values import (
-    EMOTICONS, EMOTIONS, FEATURE_TOKEN, IRREGULAR_FORMS, NOUN_SUFFIXES, STOP_WORDS, PRESERVED_WORDS,
-    SYMBOL_RANGES, TAG, TWO_PART_WORDS, URL, VERB_SUFFIXES, WHITE_SPACE,
+    EMOTICONS, EMOTIONS, FEATURE_TOKEN, GRIDS, IRREGULAR_FORMS, MIN_COUNT, NOUN_SUFFIXES, STOP_WORDS, PRESERVED_WORDS,
+    SWEEP_HIDDEN, SWEEP_ITERATIONS, SYMBOL_RANGES, TAG, TWO_PART_WORDS, URL, VECTOR_SIZE, VERB_SUFFIXES, WHITE_SPACE,
 )
 from textloom.plans.corpus import LANGS
 from textloom.plans.queries import EDGE_CASES
@@ -291,6 +293,28 @@ edge AS (SELECT doc_id AS id, {cases}[doc_id % {len(EDGE_CASES)} + 1] || text AS
 n AS (SELECT id, {normalise('text')} AS cleaned FROM edge)"""
 
 
+def model_sql() -> dict[str, str]:
+    """What SQL can state about the queries of `model_queries`."""
+    sql = {}
+    for name in ("svm", "rf", "gb", "mlp"):
+        sql[f"train_{name}"] = f"""WITH {CONTENT_SPLIT} SELECT label, any_value(emotion) AS emotion, count(*) AS support,
+  true AS beats_majority FROM corpus WHERE split = 'test' GROUP BY label"""
+    sql["calibrated_proba"] = f"WITH {CONTENT_SPLIT} SELECT id, split, {K} AS classes, true AS valid FROM corpus"
+    points = ", ".join(f"({i}, {c}::DOUBLE)" for i, c in enumerate(GRIDS["svm"]["C"]))
+    sql["grid_search"] = f'SELECT grid_idx, c AS "C", true AS consistent FROM (VALUES {points}) v(grid_idx, c)'
+    sweep = ", ".join(f"({i}, {h}, {m})" for i, (h, m) in enumerate(product(SWEEP_HIDDEN, SWEEP_ITERATIONS)))
+    sql["sweep_holdout"] = f"SELECT grid_idx, hidden, max_iter, true AS consistent FROM (VALUES {sweep}) v(grid_idx, hidden, max_iter)"
+    sql["score_batch"] = f"""WITH {CONTENT_SPLIT}, bench AS (SELECT item_id AS id, text FROM benchmark), {tokenised('bench', 'btoks')}
+SELECT split, id, len(tokens) = 0 AS unknown FROM corpus UNION ALL SELECT 'benchmark', id, len(tokens) = 0 FROM btoks"""
+    sql["stream_score"] = "SELECT count(*) AS n_rows, 0::BIGINT AS mismatches FROM documents"
+    sql["training_history"] = "SELECT true AS improves"
+    sql["word2vec_embed"] = f"""WITH {TOKS}, placed AS (SELECT id, unnest(tokens) AS token FROM toks),
+often AS (SELECT token FROM placed GROUP BY token HAVING count(*) >= {MIN_COUNT}),
+seen AS (SELECT DISTINCT id FROM placed JOIN often USING (token))
+SELECT d.id, {VECTOR_SIZE} AS size, s.id IS NULL AS zero FROM docs d LEFT JOIN seen s USING (id)"""
+    return sql
+
+
 def oracle_sql() -> dict[str, str]:
     role = label_of("role", ["user", "assistant", "system"])
     sql: dict[str, str] = {}
@@ -438,4 +462,5 @@ UNION ALL SELECT 'weighted avg', round(precision, 4), round(recall, 4), round(f1
   round(stddev_pop(score), 4) AS std FROM cv_f1 GROUP BY grid_idx, alpha"""
     sql["best_params"] = f"""WITH {cv} SELECT grid_idx, alpha, round(avg(score), 6) AS mean_score FROM cv_f1
 GROUP BY grid_idx, alpha ORDER BY mean_score DESC, grid_idx LIMIT 1"""
+    sql.update(model_sql())
     return sql
