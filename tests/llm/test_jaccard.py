@@ -80,3 +80,16 @@ def test_repeated_and_missing_ids(spark):
     got = {(r["doc_id"], r["component_id"]) for r in jaccard.jaccard_components(df, 4, 85).collect()}
     assert got >= {(5, 5), (7, 5), (8, 5)} and len(jaccard.jaccard_components(df, 4, 85).collect()) == len(rows)
     assert jaccard.jaccard_components(df.limit(0), 4, 85).count() == 0
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_null_ids_take_no_part(spark, repeated):
+    text = " ".join("w%d" % k for k in range(40))
+    far = " ".join("w%d" % k for k in range(8, 40)) + " " + " ".join("v%d" % k for k in range(8))
+    bridge = " ".join("w%d" % k for k in range(4, 40)) + " " + " ".join("v%d" % k for k in range(4))
+    rows = [(None, text), (5, text), (6, text + " more"), (None, bridge), (7, far), (None, ""), (8, None)]
+    rows += [(9, "one text of this id and more"), (9, "quite another text of the same")] if repeated else []
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((tuple(r) for r in jaccard.jaccard_components(df, 4, 75).collect()), key=str)
+    assert got == brute(rows, 4, 75)
+    assert {c for i, _, c in got if i in (5, 6)} == {5} and (7, 37, 7) in got

@@ -49,11 +49,12 @@ def _batch_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray, n
     return tuple(np.concatenate(p) for p in zip(*parts))
 
 
-def _first_of_each(sizes: np.ndarray, digests: np.ndarray) -> np.ndarray:
-    """Marks one text of each set, none of empty ones: copies within a batch count once."""
+def _first_of_each(sizes: np.ndarray, digests: np.ndarray, ids: pa.Array) -> np.ndarray:
+    """Marks one text of each set among the rows with an id, none of empty ones: copies within a batch count once."""
     first = np.zeros(len(sizes), bool)
-    first[np.unique(digests, return_index=True)[1]] = True
-    return first & (sizes > 0)
+    some = np.flatnonzero((sizes > 0) & np.array(ids.is_valid()))
+    first[some[np.unique(digests[some], return_index=True)[1]]] = True
+    return first
 
 
 def _scan(df: DataFrame, words: int) -> DataFrame:
@@ -63,7 +64,7 @@ def _scan(df: DataFrame, words: int) -> DataFrame:
             if not b.num_rows:
                 continue
             who, what, size, digest = _batch_sets(b.column(1), words)
-            token, count = np.unique(what[_first_of_each(size, digest)[who]], return_counts=True)
+            token, count = np.unique(what[_first_of_each(size, digest, b.column(0))[who]], return_counts=True)
             often = count >= max(LOCAL_DOCS, LOCAL_SHARE * b.num_rows)
             rows, tokens = b.num_rows, int(often.sum())
             nulls = pa.nulls(tokens, pa.int64()), pa.nulls(rows, pa.int64())
@@ -128,7 +129,7 @@ def _deal(df: DataFrame, words: int, num: int, ranges: int, common) -> DataFrame
             if not b.num_rows:
                 continue
             who, what, size, digest = _batch_sets(b.column(1), words)
-            keep = _first_of_each(size, digest) & np.array(ids.is_valid())
+            keep = _first_of_each(size, digest, ids)
             ids = ids.fill_null(0).to_numpy()
             used = keep[who]
             who, what = who[used], what[used]
@@ -328,12 +329,13 @@ def jaccard_components(df: DataFrame, words: int = 5, percent: int = 80, text_co
     light = scan.where("token IS NULL").select("id", "n", "digest")
     total, ids, found = light.agg(F.count("id"), F.count_distinct("id"), F.count_distinct("id", "n", "digest")).first()
     if found > ids:  # an id with several texts: number the rows, then name components by the smallest id
-        numbered = write_and_read(docs.withColumn("row", F.monotonically_increasing_id()), "numbered")
+        numbered = write_and_read(docs.where("id IS NOT NULL").withColumn("row", F.monotonically_increasing_id()), "numbered")
         rows = jaccard_components(numbered.select("row", "text"), words, percent, "text", "row").join(
             numbered.select("row", F.col("id").alias("own")), "row")
         names = rows.groupBy("component_id").agg(F.min("own").alias("name"))
-        return rows.join(names, "component_id").select(
-            F.col("own").alias(id_col), "n_shingles", F.when(F.col("own").isNotNull(), F.col("name")).alias("component_id"))
+        named = rows.join(names, "component_id").select("own", "n_shingles", "name")
+        return named.union(light.where("id IS NULL").select("id", "n", F.lit(None).cast("long"))).toDF(
+            id_col, "n_shingles", "component_id")
     least = max(COMMON_DOCS, COMMON_SHARE * total)
     # at most (shingles of all documents) / least of them
     heavy = scan.where("token IS NOT NULL").groupBy("token").agg(F.sum("copies").alias("n")).where(F.col("n") >= least)
