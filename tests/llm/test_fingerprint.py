@@ -56,3 +56,25 @@ def test_likeness_follows_the_common_part(spark):
 def test_native(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     assert "Python" not in fp.fingerprint_edits(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_likeness_of_a_repeated_sentence(spark):
+    for k in (400, 3000, 4096, 9000):
+        whole, half, most = prints(spark, ["word. " * k, "word. " * (k // 2), "word. " * (k - 300) + "other. " * 300])
+        df = spark.createDataFrame([(whole, half, most)], "a array<long>, b array<long>, c array<long>")
+        r = df.select(fp.likeness(F.col("a"), F.col("b")).alias("half"), fp.likeness(F.col("a"), F.col("c")).alias("most")).first()
+        assert abs(r["half"] - 0.8) < 0.01, k
+        assert k < 3000 or r["most"] > 0.9
+
+
+def test_text_of_a_fingerprint_keeps_12_bits(spark):
+    parts = ["word"] * 5000 + [f"line {i}" for i in range(700)]
+    hashes = [hashlib.md5(p.encode()).hexdigest() for p in parts]
+    for n in (30, 5700):
+        expected = []
+        for start in (0, 15):
+            numbers = [int(h[start:start + 15], 16) for h in hashes[-n:]]
+            expected += [sum(x >> k & fp.ONES for x in numbers) & fp.MASK for k in range(fp.STEPS)]
+        df = spark.createDataFrame([("\n".join(parts[-n:]),)], "t string")
+        text = fp.with_fingerprint(df, F.col("t"), "f").select(fp.as_text(F.col("f"))).first()[0]
+        assert text[75:] == "".join("%015x" % x for x in expected) and len(text) == 29 * 15

@@ -10,10 +10,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 BITS = 60
 MASK = (1 << BITS) - 1
 EXACT = 4          # words of 60 bits from the sha256 of a paragraph
-STEPS = 12         # bits of a counter; each of two 60-bit hashes of a sentence is spread over 12 words of 5 counters
+STEPS = 12         # bits of a counter as written; each of two 60-bit hashes of a sentence is spread over 12 words of 5 counters
 FIELDS = BITS // STEPS
 ONES = sum(1 << (STEPS * f) for f in range(FIELDS))
-WORDS = EXACT + 1 + 2 * STEPS
+WIDE = 30          # bits of a counter in the vector: 30 words of 2 for each hash; no array has 2^29 sentences
+PAIR = BITS // WIDE
+WIDE_ONES = sum(1 << (WIDE * f) for f in range(PAIR))
+WORDS = EXACT + 1 + 2 * WIDE
 #: Documents of a range that one task puts in order, about; more ranges than MOST_RANGES aren't made.
 RANGE_ROWS = 2_000
 MOST_RANGES = 10_000
@@ -23,6 +26,10 @@ def _number(digits: Column, start: int) -> Column:
     return F.conv(F.substring(digits, start, 15), 16, 10).cast("long")
 
 
+def _field(word: Column, bits: int, f: int) -> Column:
+    return F.shiftright(word, bits * f).bitwiseAND(F.lit((1 << bits) - 1))
+
+
 def _total(values: Column, part=lambda x: x) -> Column:
     """Sum modulo 2^60. The sum of two such words can't overflow."""
     return F.aggregate(values, F.lit(0).cast("long"), lambda acc, x: (acc + part(x)).bitwiseAND(F.lit(MASK)))
@@ -34,7 +41,7 @@ def with_fingerprint(df: DataFrame, text: Column, name: str) -> DataFrame:
     `delete` of a paragraph's vector give the fingerprint of the changed text.
 
     A paragraph's vector: 4 words of its sha256; the number of its sentences; and for each sentence 120 bits of its
-    md5, each added to a counter of 12 bits. The first words make different multisets of paragraphs differ; the
+    md5, each added to a counter of 30 bits. The first words make different multisets of paragraphs differ; the
     counters, as sums of random signs, also tell how much two texts have in common. A null text counts as empty.
     """
     text = F.coalesce(text, F.lit(""))
@@ -45,8 +52,15 @@ def with_fingerprint(df: DataFrame, text: Column, name: str) -> DataFrame:
     digits = lambda start: lambda hashed: _number(hashed, start)
     step = lambda k: lambda x: F.shiftright(x, k).bitwiseAND(F.lit(ONES))
     exact = [_total(F.col("_lines"), digits(1 + 15 * k)) for k in range(EXACT)]
-    spread = [_total(F.col(c), step(k)) for c in ("_a", "_b") for k in range(STEPS)]
-    return df.withColumn(name, F.array(*exact, F.size("_parts").cast("long"), *spread)).drop("_lines", "_parts", "_a", "_b")
+    df = df.withColumn("_narrow", F.array(*[_total(F.col(c), step(k)) for c in ("_a", "_b") for k in range(STEPS)]))
+    # counters of so few sentences don't run over, and five of them are added at a time
+    few = F.size("_parts") < (1 << STEPS)
+    bit = lambda h, p: _field(F.col("_narrow")[STEPS * h + p % STEPS], STEPS, p // STEPS)
+    wide = lambda k: lambda x: F.shiftright(x, k).bitwiseAND(F.lit(WIDE_ONES))
+    counters = F.when(few, F.array(*[bit(h, k) + F.shiftleft(bit(h, k + WIDE), WIDE) for h in range(2) for k in range(WIDE)])).otherwise(
+        F.array(*[_total(F.col(c), wide(k)) for c in ("_a", "_b") for k in range(WIDE)]))
+    return df.withColumn(name, F.concat(F.array(*exact, F.size("_parts").cast("long")), counters)).drop(
+        "_lines", "_parts", "_a", "_b", "_narrow")
 
 
 def insert(fingerprint: Column, paragraphs: Column) -> Column:
@@ -59,28 +73,32 @@ def delete(fingerprint: Column, paragraphs: Column) -> Column:
 
 
 def as_text(fingerprint: Column) -> Column:
-    return F.array_join(F.transform(fingerprint, lambda x: F.lpad(F.lower(F.hex(x)), 15, "0")), "")
+    """4 + 1 + 24 words of 15 hexadecimal digits. The counters are written packed as 12 bits, the sums modulo 2^60."""
+    def packed(h: int, k: int) -> Column:
+        places = [(p, k + STEPS * p) for p in range(FIELDS)]
+        return sum((F.shiftleft(_field(fingerprint[EXACT + 1 + WIDE * h + b % WIDE], WIDE, b // WIDE), STEPS * p).bitwiseAND(F.lit(MASK))
+                    for p, b in places), F.lit(0).cast("long")).bitwiseAND(F.lit(MASK))
+
+    words = F.concat(F.slice(fingerprint, 1, EXACT + 1), F.array(*[packed(h, k) for h in range(2) for k in range(STEPS)]))
+    return F.array_join(F.transform(words, lambda x: F.lpad(F.lower(F.hex(x)), 15, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
     """1 for equal fingerprints, else the common part of the two multisets of sentences, 0 to 1: for counters x and y,
     1 - |x - y|² / (|x|² + |y|²), which estimates 2 f·g / (f·f + g·g) of the sentence counts f and g, to about 0.1."""
-    half = 1 << (STEPS - 1)
-    signed = lambda x: F.pmod(x + half, F.lit(1 << STEPS)) - half
-    field = lambda w, f: F.shiftright(w, STEPS * f).bitwiseAND(F.lit((1 << STEPS) - 1))
     n = [F.element_at(v, EXACT + 1) for v in (a, b)]
-    counters = [F.slice(v, EXACT + 2, 2 * STEPS) for v in (a, b)]
+    counters = [F.slice(v, EXACT + 2, 2 * WIDE) for v in (a, b)]
 
     def squares(values: Column, minus: Column) -> Column:
+        sign = lambda w, f: 2 * _field(w, WIDE, f) - minus
         return F.aggregate(values, F.lit(0).cast("long"), lambda acc, w: acc + sum(
-            (signed(2 * field(w, f) - minus) * signed(2 * field(w, f) - minus) for f in range(1, FIELDS)),
-            signed(2 * field(w, 0) - minus) * signed(2 * field(w, 0) - minus)))
+            (sign(w, f) * sign(w, f) for f in range(1, PAIR)), sign(w, 0) * sign(w, 0)))
 
     # counters of the difference: each field is taken apart before it is subtracted
     pairs = F.zip_with(*counters, lambda x, y: F.struct(x.alias("x"), y.alias("y")))
-    apart = lambda p, f: signed(2 * (field(p["x"], f) - field(p["y"], f)) - (n[0] - n[1]))
+    apart = lambda p, f: 2 * (_field(p["x"], WIDE, f) - _field(p["y"], WIDE, f)) - (n[0] - n[1])
     distance = F.aggregate(pairs, F.lit(0).cast("long"), lambda acc, p: acc + sum(
-        (apart(p, f) * apart(p, f) for f in range(1, FIELDS)), apart(p, 0) * apart(p, 0)))
+        (apart(p, f) * apart(p, f) for f in range(1, PAIR)), apart(p, 0) * apart(p, 0)))
     lengths = squares(counters[0], n[0]) + squares(counters[1], n[1])
     return (
         F.when(a == b, F.lit(1.0)).when(lengths == 0, F.lit(0.0))
