@@ -30,3 +30,15 @@ def test_mixtures_and_odd_rows(spark):
     assert predict_languages(df.limit(0), model).count() == 0
     empty = fit_languages(train.limit(0))
     assert predict_languages(df, empty).where("lang_pred <> 'und'").count() == 0
+
+
+def test_copies_count_once(spark):
+    fr = [f"le chat numero {w} est dans la maison avec les autres choses" for w in ("un", "deux", "trois")]
+    en = [f"the cat and the other thing {w} that they were thinking of" for w in ("ab", "cd", "ef", "gh", "ij", "kl")]
+    hot = "zzz qqq zzz qqq zzz xxx zzz qqq " * 4
+    once = spark.createDataFrame([(t, "fr") for t in fr] + [(t, "en") for t in [*en, hot]], "text string, lang string")
+    copies = once.selectExpr("*", f"explode(sequence(1, CASE WHEN lang = 'fr' THEN 10000 WHEN text = '{hot}' THEN 5000 ELSE 1 END)) AS k")
+    one, many = fit_languages(once), fit_languages(copies.repartition(4))
+    assert one.languages == many.languages == ["en", "fr"]
+    assert np.array_equal(one.log_likelihood, many.log_likelihood)
+    assert (many.log_likelihood.std(axis=1) > 0).all()

@@ -12,7 +12,7 @@ from textloom.llm.common import batch, bounded_batches, chunks, map_batches
 
 #: n-grams are hashed to so many buckets; a model has one number for each bucket and language.
 BUCKETS = 1 << 16
-#: Documents of a language that the likelihoods are learned from, about, chosen by a hash of the text.
+#: Distinct texts of a language that the likelihoods are learned from, about, chosen by a hash of the text.
 MAX_TRAIN_DOCS = 5_000
 #: More languages are refused: the model is broadcast.
 MAX_LANGUAGES = 512
@@ -127,19 +127,20 @@ def fit_languages(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
                   max_docs: int = MAX_TRAIN_DOCS, smoothing: float = 0.5) -> LanguageModel:
     """Trigram likelihoods of each language from whole labelled texts; rows with a null text or language are left out.
 
-    Up to about `max_docs` documents of a language are used, those with the smallest hashes of their text. Tasks count,
-    counts are added by a shuffle, and languages x BUCKETS numbers reach the driver.
+    Copies of a text in a language count once. Up to about `max_docs` different texts of a language are used, chosen by
+    their hash. Tasks count, counts are added by a shuffle, and languages x BUCKETS numbers reach the driver.
     """
     bounded_batches(df.sparkSession)
     rows = df.select(df[text_col].alias("text"), df[lang_col].cast("string").alias("lang")).where(
-        "text IS NOT NULL AND lang IS NOT NULL")
-    sizes = rows.groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
+        "text IS NOT NULL AND lang IS NOT NULL").withColumn("hash", F.xxhash64("text"))
+    sizes = rows.select("lang", "hash").distinct().groupBy("lang").count().limit(MAX_LANGUAGES + 1).collect()
     if len(sizes) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     if not sizes:
         return LanguageModel([], np.zeros((0, BUCKETS), "float32"))
     cut = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, max_docs / r["count"]))])
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_003)) < cut[F.col("lang")] * 1_000_003)
+    chosen = rows.where(F.pmod("hash", F.lit(1_000_003)) < cut[F.col("lang")] * 1_000_003).dropDuplicates(
+        ["lang", "hash"]).select("text", "lang")
 
     def count(batches):
         counts: dict[str, np.ndarray] = {}
