@@ -63,3 +63,10 @@ def test_redaction(spark):
 def test_empty_table(spark):
     assert find_pii(planted(spark).limit(0)).count() == 0
     assert digest_text([(3, 0, 5), (3, 1, 9)]) == "email:3:5,ip:3:9"
+
+
+def test_ip_part_of_any_length(spark):
+    text = "1.2.3." + "0" * 4301
+    assert [s[1] for s in base_spans(text)] == [1] and not base_spans(text + "256") and len(base_spans("1.2.3." + "0" * 5000 + "255")) == 1
+    df = spark.createDataFrame([(1, text), (2, "1.2.3." + "9" * 6000)], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_ip"] for r in find_pii(df).collect()} == {1: 1, 2: 0}

@@ -68,7 +68,7 @@ def base_spans(text: str) -> list[Span]:
     out = _emails(text)
     if _DIGIT.search(text):
         for m in _IP.finditer(text):
-            if all(len(p.lstrip("0")) < 4 and int(p) < 256 for p in m.group().split(".")):
+            if all(len(p) < 4 and int(p or "0") < 256 for p in (x.lstrip("0") for x in m.group().split("."))):
                 out.append((m.start(), IP, m.end()))
         for m in _CARD.finditer(text):
             if m.end() - m.start() > 11:
