@@ -23,15 +23,20 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles with a Jaccard similarity of 0.8 or more: the one with
-    the smallest id. Of rows that agree in id and text one stays; rows without an id stay."""
-    found = write_and_read(jaccard_components(docs.select("doc_id", "text"), words=5, percent=80), "components")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(F.broadcast(gone) if fits_broadcast(gone) else gone, "doc_id", "left_anti").select(docs.columns)
-    rows, ids = found.where("doc_id IS NOT NULL").agg(F.count("*"), F.count_distinct("doc_id")).first()
+    the smallest id. Of rows that agree in id and text one stays; rows without an id stay. An id may have several texts:
+    then rows are told apart by a number, and the smallest id and number of a group stays."""
+    rows, ids = docs.agg(F.count("doc_id"), F.count_distinct("doc_id")).first()
     if rows > ids:
-        named = kept.where("doc_id IS NOT NULL")
-        kept = named.dropDuplicates(["doc_id", "text"]).union(kept.where("doc_id IS NULL"))
-    return kept
+        named = write_and_read(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id", "text"]).withColumn(
+            "_row", F.monotonically_increasing_id()), "named")
+        found = jaccard_components(named.select("_row", "text"), words=5, percent=80, id_col="_row")
+        first = write_and_read(found.join(named.select("_row", "doc_id"), "_row").groupBy("component_id").agg(
+            F.min(F.struct("doc_id", "_row")).alias("first")).select("first._row"), "first")
+        kept = named.join(F.broadcast(first) if fits_broadcast(first) else first, "_row", "left_semi").select(docs.columns)
+        return kept.union(docs.where("doc_id IS NULL"))
+    found = write_and_read(jaccard_components(docs.select("doc_id", "text"), words=5, percent=80), "components")
+    gone = found.where("doc_id <> component_id").select("doc_id")
+    return docs.join(F.broadcast(gone) if fits_broadcast(gone) else gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,3 +34,17 @@ def test_extra_columns_nulls_and_empty(spark):
             out = stage(spark, docs, SF)
             assert name == "tokens" or out.columns == docs.columns
             out.count()
+
+
+def test_an_id_with_several_texts(spark):
+    word = lambda c, n=40: " ".join(f"{c}{k}" for k in range(n))
+    a, x = word("a"), word("x")
+
+    def kept(rows):
+        docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+        return sorted(((r["doc_id"], r["text"]) for r in cp.near_duplicates(spark, docs, SF).collect()), key=str)
+
+    assert kept([(3, a + " more"), (5, a), (5, x)]) == [(3, a + " more"), (5, x)]
+    assert len(kept([(5, a), (5, a + " more")])) == 1
+    assert kept([(7, a), (5, a), (5, a), (None, a), (None, a), (2, ""), (2, "")]) == sorted(
+        [(5, a), (None, a), (None, a), (2, "")], key=str)
