@@ -13,6 +13,8 @@ from textloom.llm import fingerprint
 from textloom.llm.fingerprint import fingerprint_edits
 from textloom.llm.jaccard import jaccard_components
 from textloom.llm.language import fit_languages, predict_languages
+from textloom.llm import manifest
+from textloom.llm.manifest import manifest_audit
 from textloom.llm.mixing import MIX_SQL, mix_sources
 from textloom.llm.pii import find_pii
 from textloom.llm.quality import AdditiveModel, fit_quality, score_quality
@@ -142,3 +144,11 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents")).drop("found")
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_audit(table(spark, sf_dir, "documents"))
+
+
+ORACLE_SQL["op11_merkle_manifest"] = manifest.sql()
