@@ -18,6 +18,7 @@ from textloom.llm.manifest import manifest_audit
 from textloom.llm.mixing import MIX_SQL, mix_sources
 from textloom.llm.pii import find_pii
 from textloom.llm.quality import AdditiveModel, fit_quality, score_quality
+from textloom.llm.simhash import simhash_components
 from textloom.llm.token_counts import token_counts
 from textloom.llm.topk import quantised, top_k
 from textloom.llm.urls import judge_urls
@@ -152,3 +153,8 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op11_merkle_manifest"] = manifest.sql()
+
+
+@query
+def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(table(spark, sf_dir, "documents"), words=3, bits=2)
