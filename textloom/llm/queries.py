@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textloom.llm.bpe import round_trip_digests
 from textloom.llm.common import remainder_is, table
-from textloom.llm import fingerprint
+from textloom.llm import fingerprint, manifest
+from textloom.llm.filter_audit import AUDIT_SQL, filter_audit
 from textloom.llm.fingerprint import fingerprint_edits
 from textloom.llm.jaccard import jaccard_components
 from textloom.llm.language import fit_languages, predict_languages
-from textloom.llm import manifest
 from textloom.llm.manifest import manifest_audit
 from textloom.llm.mixing import MIX_SQL, mix_sources
 from textloom.llm.pii import find_pii
@@ -158,3 +158,11 @@ ORACLE_SQL["op11_merkle_manifest"] = manifest.sql()
 @query
 def op12_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(table(spark, sf_dir, "documents"), words=3, bits=2)
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE_SQL["op13_filter_audit"] = AUDIT_SQL
