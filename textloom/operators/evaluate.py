@@ -191,6 +191,15 @@ def best_params(scores: DataFrame, model: Sequence[str], order: str = "grid_idx"
     return mean.orderBy(F.desc("mean_score"), order).limit(1)
 
 
+def macro_f1_of(counts: Sequence[tuple[int, int, int]]) -> float:
+    """Of (actual, predicted, n), at most classes² of them, over the classes met."""
+    f1 = []
+    for c in {a for a, _, _ in counts} | {p for _, p, _ in counts}:
+        tp = sum(n for a, p, n in counts if a == p == c)
+        f1.append(2 * tp / sum(n * ((a == c) + (p == c)) for a, p, n in counts))
+    return sum(f1) / len(f1) if f1 else 0.0
+
+
 class MacroF1Evaluator(Evaluator, HasLabelCol, HasPredictionCol, DefaultParamsReadable, DefaultParamsWritable):
     """Plain mean of the class F1 scores. Spark's own `f1` is weighted by class size."""
 
@@ -202,14 +211,7 @@ class MacroF1Evaluator(Evaluator, HasLabelCol, HasPredictionCol, DefaultParamsRe
         pairs = dataset.select(
             F.col(self.getLabelCol()).cast("int").alias("actual"),
             F.col(self.getPredictionCol()).cast("int").alias("predicted"))
-        counts = [(a, p, n) for a, p, n in confusion_counts(pairs).collect()]
-        classes = {a for a, _, _ in counts} | {p for _, p, _ in counts}
-        f1 = []
-        for c in classes:
-            tp = sum(n for a, p, n in counts if a == p == c)
-            either = sum(n * ((a == c) + (p == c)) for a, p, n in counts)
-            f1.append(2 * tp / either)
-        return sum(f1) / len(f1) if f1 else 0.0
+        return macro_f1_of([(a, p, n) for a, p, n in confusion_counts(pairs).collect()])
 
     def isLargerBetter(self) -> bool:
         return True

@@ -1,4 +1,4 @@
-"""Binary classifiers, one per class, with their margins turned into probabilities.
+"""Binary classifiers, one per class, with their margins turned into probabilities (`linear_svm` has SVMs of its own).
 
 Spark's OneVsRest trains them side by side. Its model, though, scores through Python functions and
 gives no probabilities, so the binary models are taken out and become stages of their own.
@@ -6,22 +6,13 @@ gives no probabilities, so the binary models are taken out and become stages of
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
-from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel, Transformer
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.classification import OneVsRest
+from pyspark.sql import DataFrame
 
-from textloom.cluster import write_and_read
 from textloom.operators.stages import MarginProbability
 
 
-# Of the usual linear SVM; with the far smaller one of Spark, hinge loss goes on for thousands of passes.
-TOLERANCE = 1e-4
-
-
 def fit_binary(df: DataFrame, classifier: Estimator, prefix: str, parallelism: int) -> list[Transformer]:
     """A model per class; model c writes the columns {prefix}_{c} (margins) and {prefix}_{c}_class."""
     weighted = classifier.hasParam("weightCol") and classifier.isSet("weightCol")
@@ -53,57 +44,3 @@ class OneVsRestMargins(Estimator):
         k = len(models)
         return PipelineModel([*models, MarginProbability(
             marginCols=margin_columns("_margin", k), classes=k, slopes=[self.slope] * k, offsets=[0.0] * k)])
-
-
-def linear_svc(c: float, rows: int, max_iter: int) -> LinearSVC:
-    """Loss is averaged over rows here, so the penalty is 1 / (C * rows)."""
-    return LinearSVC(
-        maxIter=max_iter, tol=TOLERANCE, regParam=1.0 / (c * rows), standardization=False, weightCol="weight")
-
-
-def fit_platt(margins: DataFrame, classes: int) -> list[tuple[float, float]]:
-    """Slope and offset per class from (label, margins array<double>).
-
-    Targets are (n+ + 1) / (n+ + 2) and 1 / (n- + 2). A soft target is a pair of weighted rows.
-    """
-    sizes = {r["label"]: r["n"] for r in margins.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    total = sum(sizes.values())
-    fitted = []
-    for c in range(classes):
-        n_pos = sizes.get(c, 0)
-        target = F.when(F.col("label") == c, (n_pos + 1) / (n_pos + 2)).otherwise(1 / (total - n_pos + 2))
-        rows = margins.select(
-            array_to_vector(F.array(F.get("margins", F.lit(c)))).alias("features"),
-            F.inline(F.array(
-                F.struct(F.lit(1.0).alias("label"), target.alias("weight")),
-                F.struct(F.lit(0.0).alias("label"), (1 - target).alias("weight")),
-            )))
-        model = LogisticRegression(weightCol="weight", maxIter=50, standardization=False).fit(rows)
-        fitted.append((float(model.coefficients[0]), float(model.intercept)))
-    return fitted
-
-
-def fit_calibrated_svm(
-    train: DataFrame, classes: int, c: float = 1.0, max_iter: int = 5_000, fold_col: str = "calibration_fold",
-    folds: int = 3, parallelism: int = 4,
-) -> list[Transformer]:
-    """Per fold: fit on the others, calibrate on it. Stages: all models, then their averaged probability.
-
-    `train` has label, weight, features and the fold.
-    """
-
-    def fit_fold(f: int) -> tuple[list[Transformer], list[str], list[tuple[float, float]]]:
-        rest, held = train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)
-        models = fit_binary(rest, linear_svc(c, rest.count(), max_iter), f"_svm{f}", parallelism)
-        names = margin_columns(f"_svm{f}", classes)
-        margins = F.array(*[F.get(vector_to_array(n), F.lit(1)) for n in names])
-        scored = PipelineModel(models).transform(held).select(
-            F.col("label").cast("int").alias("label"), margins.alias("margins"))
-        return models, names, fit_platt(write_and_read(scored, "margins"), classes)
-
-    with ThreadPoolExecutor(folds) as pool:  # the folds are independent jobs
-        fitted = list(pool.map(inheritable_thread_target(train.sparkSession)(fit_fold), range(folds)))
-    sigmoids = [s for _, _, fold in fitted for s in fold]
-    return [*[m for models, _, _ in fitted for m in models], MarginProbability(
-        marginCols=[n for _, names, _ in fitted for n in names], classes=classes,
-        slopes=[slope for slope, _ in sigmoids], offsets=[offset for _, offset in sigmoids])]

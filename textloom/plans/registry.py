@@ -14,7 +14,8 @@ from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.sql import DataFrame, functions as F
 
 from textloom.fixed_values import GRIDS, SEED
-from textloom.operators.one_vs_rest import OneVsRestMargins, fit_calibrated_svm, linear_svc
+from textloom.operators.linear_svm import fit_calibrated, tune
+from textloom.operators.one_vs_rest import OneVsRestMargins
 
 # Spark's trees go no deeper.
 DEEPEST = 30
@@ -32,11 +33,13 @@ class TrainingData:
 
 @dataclass
 class Spec:
-    """`estimator` builds what is tuned; `finish` turns the chosen settings into scoring stages."""
+    """`estimator` builds what is tuned; `finish` turns the chosen settings into scoring stages. `tune` scores all points
+    on all folds (by point, then fold) where models can be trained together."""
 
-    estimator: Callable[[Mapping, TrainingData], Estimator]
+    estimator: Callable[[Mapping, TrainingData], Estimator] | None
     grid: Mapping[str, Sequence] = field(default_factory=dict)
     finish: Callable[[Mapping, TrainingData], list] | None = None
+    tune: Callable[[Sequence[Mapping], DataFrame, TrainingData, int], list[list[float]]] | None = None
 
     def points(self) -> list[dict]:
         return [dict(zip(self.grid, values)) for values in product(*self.grid.values())]
@@ -54,12 +57,20 @@ def reduced(top: int) -> UnivariateFeatureSelector:
     return selector.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(top)
 
 
-def _svm(params: Mapping, data: TrainingData) -> Estimator:
-    return OneVsRestMargins(linear_svc(params.get("C", 1.0), data.n_rows, params.get("maxIter", 5_000)))
+SVM_PASSES = 5_000
 
 
 def _svm_calibrated(params: Mapping, data: TrainingData) -> list:
-    return fit_calibrated_svm(data.rows, data.classes, params.get("C", 1.0), params.get("maxIter", 5_000))
+    model, _ = fit_calibrated(data.rows, data.size, data.classes, params.get("C", 1.0), params.get("maxIter", SVM_PASSES))
+    return [model]
+
+
+def _tune_svm(points: Sequence[Mapping], rows: DataFrame, data: TrainingData, folds: int) -> list[list[float]]:
+    """All points and folds in one training."""
+    passes = {p.get("maxIter", SVM_PASSES) for p in points}
+    if len(passes) > 1:
+        raise ValueError("the points of an SVM's grid share their maxIter")
+    return tune(rows, data.size, data.classes, [p.get("C", 1.0) for p in points], folds, max_iter=passes.pop())
 
 
 def _forest(params: Mapping, data: TrainingData) -> Estimator:
@@ -99,10 +110,11 @@ REGISTRY: dict[str, Spec] = {}
 
 
 def register_model(
-    name: str, estimator: Callable[[Mapping, TrainingData], Estimator], grid: Mapping[str, Sequence] | None = None,
+    name: str, estimator: Callable[[Mapping, TrainingData], Estimator] | None, grid: Mapping[str, Sequence] | None = None,
     finish: Callable[[Mapping, TrainingData], list] | None = None,
+    tune: Callable[[Sequence[Mapping], DataFrame, TrainingData, int], list[list[float]]] | None = None,
 ) -> None:
-    REGISTRY[name] = Spec(estimator, dict(grid or {}), finish)
+    REGISTRY[name] = Spec(estimator, dict(grid or {}), finish, tune)
 
 
 def model_spec(name: str) -> Spec:
@@ -111,7 +123,7 @@ def model_spec(name: str) -> Spec:
     return REGISTRY[name]
 
 
-register_model("svm", _svm, GRIDS["svm"], _svm_calibrated)
+register_model("svm", None, GRIDS["svm"], _svm_calibrated, _tune_svm)
 register_model("rf", _forest, GRIDS["rf"])
 register_model("gb", _boosting, GRIDS["gb"])
 register_model("cnb", _complement_nb, GRIDS["cnb"])
