@@ -180,52 +180,48 @@ def fingerprint_edits(df: DataFrame, text_col: str = "text", id_col: str = "doc_
     )
 
 
-def _sql_vector(name: str) -> str:
-    """DuckDB: the words of a fingerprint, from the hashes of lines `name`_l and of sentences `name`_s."""
-    number = lambda start: f"('0x' || substr(h, {start}, 15))::BIGINT"
-    exact = ", ".join(
-        f"(list_sum(list_transform({name}_l, lambda h: {number(1 + 15 * k)}::HUGEINT)) & {MASK}::HUGEINT)::BIGINT"
-        for k in range(EXACT))
-    spread = ", ".join(
-        f"(list_sum(list_transform({name}_s, lambda h: (({number(start)} >> {k}) & {ONES}::BIGINT)::HUGEINT)) & "
-        f"{MASK}::HUGEINT)::BIGINT" for start in (1, 16) for k in range(STEPS))
-    return f"[{exact}, len({name}_s)::BIGINT, {spread}]"
-
-
-def _sql_likeness(a: str, b: str) -> str:
-    size, half, n = 1 << STEPS, 1 << (STEPS - 1), EXACT + 1
-    signed = lambda x: f"((({x}) + {size * size * size + half}) % {size} - {half})"
-    field = lambda v: f"(({v}[{n} + 1 + i // {FIELDS}] >> ({STEPS} * (i % {FIELDS}))) & {size - 1})"
-    total = lambda x: (
-        f"list_sum(list_transform(range(0, {2 * STEPS * FIELDS}), lambda i: {signed(x)} * {signed(x)}))")
-    lengths = f"({total(f'2 * {field(a)} - {a}[{n}]')} + {total(f'2 * {field(b)} - {b}[{n}]')})"
-    apart = total(f"2 * ({field(a)} - {field(b)}) - ({a}[{n}] - {b}[{n}])")
-    return (f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE WHEN {lengths} = 0 THEN 0.0::DOUBLE "
-            f"ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, 1 - {apart}::DOUBLE / {lengths}::DOUBLE)) END")
-
-
 def sql() -> str:
-    """DuckDB SQL for `fingerprint_edits` over `documents`."""
-    text = lambda v: f"array_to_string(list_transform({v}, lambda x: printf('%015x', x)), '')"
-    lines = lambda v: f"list_transform(string_split({v}, chr(10)), lambda p: sha256(p))"
-    parts = lambda v: f"list_transform(regexp_split_to_array({v}, '[.!?] |\\n'), lambda p: md5(p))"
+    """DuckDB SQL for `fingerprint_edits` over `documents`: a row for each line, sentence and counter, summed by document."""
+    number = lambda start: f"('0x' || substr(h, {start}, 15))::BIGINT"
+    exact = ", ".join(f"(sum({number(1 + 15 * k)}) & {MASK}::HUGEINT)::BIGINT" for k in range(EXACT))
+    spread = ", ".join(f"(sum(({x} >> {k}) & {ONES}::BIGINT) & {MASK}::HUGEINT)::BIGINT" for x in ("a", "b") for k in range(STEPS))
+    size, half = 1 << STEPS, 1 << (STEPS - 1)
+    square = lambda x: f"sum(((({x}) + {size * size * size + half}) % {size} - {half}) ** 2)::BIGINT"
+    near = lambda d, x, y: (
+        f"CASE WHEN {x}.words = {y}.words THEN 1.0::DOUBLE WHEN {x}.length + {y}.length = 0 THEN 0.0::DOUBLE "
+        f"ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, 1 - {d}.apart::DOUBLE / ({x}.length + {y}.length)::DOUBLE)) END")
+    text = lambda v: f"array_to_string(list_transform({v}.words, lambda x: printf('%015x', x)), '')"
     return f"""
 WITH docs AS (
   SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars,
     row_number() OVER (ORDER BY doc_id NULLS LAST, coalesce(text, '')) AS place FROM documents),
 pairs AS (
-  SELECT d.doc_id, d.place, d.text, d.n_chars,
+  SELECT d.doc_id, d.place, n.place AS next_place, d.text, d.n_chars,
     substr(d.text, 1, d.n_chars - d.n_chars // 2) || substr(n.text, 1, d.n_chars // 2) AS edited
   FROM docs d JOIN docs n ON n.place = CASE WHEN d.place = (SELECT count(*) FROM docs) THEN 1 ELSE d.place + 1 END),
-hashed AS (
-  SELECT *, {lines('text')} AS t_l, {parts('text')} AS t_s, {lines('edited')} AS e_l, {parts('edited')} AS e_s FROM pairs),
-vectors AS (
-  SELECT doc_id, place, n_chars, edited, {_sql_vector('t')} AS fp, {_sql_vector('e')} AS edited_fp FROM hashed),
-beside AS (
-  SELECT v.*, n.fp AS next_fp FROM vectors v
-  JOIN vectors n ON n.place = CASE WHEN v.place = (SELECT count(*) FROM docs) THEN 1 ELSE v.place + 1 END)
-SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, {text('fp')} AS fingerprint,
-  {text('edited_fp')} AS edited_fingerprint, {_sql_likeness('fp', 'edited_fp')} AS near_edited,
-  {_sql_likeness('fp', 'next_fp')} AS near_next
-FROM beside
+texts AS MATERIALIZED (SELECT place, 'own' AS kind, text FROM pairs UNION ALL SELECT place, 'edited', edited FROM pairs),
+lines AS (SELECT place, kind, sha256(unnest(string_split(text, chr(10)))) AS h FROM texts),
+heads AS (SELECT place, kind, [{exact}] AS words FROM lines GROUP BY place, kind),
+hashes AS (SELECT place, kind, md5(unnest(regexp_split_to_array(text, '[.!?] |\n'))) AS h FROM texts),
+numbers AS MATERIALIZED (SELECT place, kind, {number(1)} AS a, {number(16)} AS b FROM hashes),
+spread AS MATERIALIZED (SELECT place, kind, count(*) AS n, [{spread}] AS words FROM numbers GROUP BY place, kind),
+counters AS MATERIALIZED (
+  SELECT place, kind, n, i, (words[1 + i // {FIELDS}] >> ({STEPS} * (i % {FIELDS}))) & {size - 1} AS c
+  FROM spread, range(0, {2 * STEPS * FIELDS}) r(i)),
+lengths AS (SELECT place, kind, {square('2 * c - n')} AS length FROM counters GROUP BY place, kind),
+prints AS (
+  SELECT s.place, s.kind, heads.words || [s.n] || s.words AS words, length
+  FROM spread s JOIN heads USING (place, kind) JOIN lengths USING (place, kind)),
+edits AS (
+  SELECT x.place, {square('2 * (x.c - y.c) - (x.n - y.n)')} AS apart FROM counters x
+  JOIN counters y ON y.place = x.place AND y.i = x.i WHERE x.kind = 'own' AND y.kind = 'edited' GROUP BY x.place),
+after AS MATERIALIZED (
+  SELECT p.place, n, i, c FROM counters y JOIN (SELECT place, next_place FROM pairs) p ON p.next_place = y.place WHERE kind = 'own'),
+nexts AS (
+  SELECT x.place, {square('2 * (x.c - y.c) - (x.n - y.n)')} AS apart FROM counters x
+  JOIN after y ON y.place = x.place AND y.i = x.i WHERE x.kind = 'own' GROUP BY x.place)
+SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, {text('o')} AS fingerprint, {text('e')} AS edited_fingerprint,
+  {near('edits', 'o', 'e')} AS near_edited, {near('nexts', 'o', 'n')} AS near_next
+FROM pairs p JOIN prints o ON o.place = p.place AND o.kind = 'own' JOIN prints e ON e.place = p.place AND e.kind = 'edited'
+JOIN prints n ON n.place = p.next_place AND n.kind = 'own' JOIN edits ON edits.place = p.place JOIN nexts ON nexts.place = p.place
 """
