@@ -22,12 +22,29 @@ RANGE_ROWS = 2_000
 MOST_RANGES = 10_000
 
 
-def _number(digits: Column, start: int) -> Column:
-    return F.conv(F.substring(digits, start, 15), 16, 10).cast("long")
+def _number(digits: Column, start: Column | int) -> Column:
+    return F.conv(F.substring(digits, start, F.lit(15) if isinstance(start, Column) else 15), 16, 10).cast("long")
 
 
-def _field(word: Column, bits: int, f: int) -> Column:
-    return F.shiftright(word, bits * f).bitwiseAND(F.lit((1 << bits) - 1))
+def _right(word: Column, bits: Column | int) -> Column:
+    return F.call_function("shiftright", word, bits if isinstance(bits, Column) else F.lit(bits))
+
+
+def _left(word: Column, bits: Column) -> Column:
+    return F.call_function("shiftleft", word, bits)
+
+
+def _field(word: Column, bits: int, f: Column | int) -> Column:
+    return _right(word, f * bits).bitwiseAND(F.lit((1 << bits) - 1))
+
+
+def _each(n: int, value) -> Column:
+    """array(value(0), ..., value(n - 1)) with `value` written once: plans of hundreds of such terms take seconds."""
+    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), value)
+
+
+def _part(a: Column, b: int) -> Column:
+    return F.floor(a / b).cast("int")
 
 
 def _total(values: Column, part=lambda x: x) -> Column:
@@ -49,17 +66,16 @@ def with_fingerprint(df: DataFrame, text: Column, name: str) -> DataFrame:
     df = df.withColumn("_parts", F.transform(F.split(text, r"[.!?] |\n"), lambda s: F.md5(s)))
     df = df.withColumn("_a", F.transform("_parts", lambda m: _number(m, 1)))
     df = df.withColumn("_b", F.transform("_parts", lambda m: _number(m, 16)))
-    digits = lambda start: lambda hashed: _number(hashed, start)
-    step = lambda k: lambda x: F.shiftright(x, k).bitwiseAND(F.lit(ONES))
-    exact = [_total(F.col("_lines"), digits(1 + 15 * k)) for k in range(EXACT)]
-    df = df.withColumn("_narrow", F.array(*[_total(F.col(c), step(k)) for c in ("_a", "_b") for k in range(STEPS)]))
+    exact = _each(EXACT, lambda k: _total(F.col("_lines"), lambda h: _number(h, 1 + 15 * k)))
+    sums = lambda n, ones: F.concat(*[_each(n, lambda k: _total(
+        F.col(c), lambda x: _right(x, k).bitwiseAND(F.lit(ones)))) for c in ("_a", "_b")])
+    df = df.withColumn("_narrow", sums(STEPS, ONES))
     # counters of so few sentences don't run over, and five of them are added at a time
     few = F.size("_parts") < (1 << STEPS)
-    bit = lambda h, p: _field(F.col("_narrow")[STEPS * h + p % STEPS], STEPS, p // STEPS)
-    wide = lambda k: lambda x: F.shiftright(x, k).bitwiseAND(F.lit(WIDE_ONES))
-    counters = F.when(few, F.array(*[bit(h, k) + F.shiftleft(bit(h, k + WIDE), WIDE) for h in range(2) for k in range(WIDE)])).otherwise(
-        F.array(*[_total(F.col(c), wide(k)) for c in ("_a", "_b") for k in range(WIDE)]))
-    return df.withColumn(name, F.concat(F.array(*exact, F.size("_parts").cast("long")), counters)).drop(
+    bit = lambda h, p: _field(F.get("_narrow", h * STEPS + p % STEPS), STEPS, _part(p, STEPS))
+    both = lambda i: bit(_part(i, WIDE), i % WIDE) + _left(bit(_part(i, WIDE), i % WIDE + WIDE), F.lit(WIDE))
+    counters = F.when(few, _each(2 * WIDE, both)).otherwise(sums(WIDE, WIDE_ONES))
+    return df.withColumn(name, F.concat(exact, F.array(F.size("_parts").cast("long")), counters)).drop(
         "_lines", "_parts", "_a", "_b", "_narrow")
 
 
@@ -74,12 +90,12 @@ def delete(fingerprint: Column, paragraphs: Column) -> Column:
 
 def as_text(fingerprint: Column) -> Column:
     """4 + 1 + 24 words of 15 hexadecimal digits. The counters are written packed as 12 bits, the sums modulo 2^60."""
-    def packed(h: int, k: int) -> Column:
-        places = [(p, k + STEPS * p) for p in range(FIELDS)]
-        return sum((F.shiftleft(_field(fingerprint[EXACT + 1 + WIDE * h + b % WIDE], WIDE, b // WIDE), STEPS * p).bitwiseAND(F.lit(MASK))
-                    for p, b in places), F.lit(0).cast("long")).bitwiseAND(F.lit(MASK))
+    def packed(i: Column) -> Column:
+        place = lambda p: i % STEPS + p * STEPS
+        word = lambda p: F.get(fingerprint, _part(i, STEPS) * WIDE + place(p) % WIDE + EXACT + 1)
+        return _total(_each(FIELDS, lambda p: _left(_field(word(p), WIDE, _part(place(p), WIDE)), p * STEPS).bitwiseAND(F.lit(MASK))))
 
-    words = F.concat(F.slice(fingerprint, 1, EXACT + 1), F.array(*[packed(h, k) for h in range(2) for k in range(STEPS)]))
+    words = F.concat(F.slice(fingerprint, 1, EXACT + 1), _each(2 * STEPS, packed))
     return F.array_join(F.transform(words, lambda x: F.lpad(F.lower(F.hex(x)), 15, "0")), "")
 
 
