@@ -328,6 +328,7 @@ WHERE regexp_replace(part, {STRIP}, '', 'g') <> ''"""
     sql["union_splits"] = f"""SELECT text, label::INT AS label, {name_of('label')} AS emotion FROM (
   SELECT text, {label_of('lang')} AS label FROM documents UNION ALL SELECT text, {role} FROM conversations
   UNION ALL SELECT text, item_id % 6 FROM benchmark)"""
+    sql["load_splits_files"] = f"WITH {DOCS} SELECT text, label, emotion FROM docs WHERE text IS NOT NULL AND label IS NOT NULL"
     sql["synthetic_corpus"] = synthetic()
     sql["line_source"] = f"WITH {LINES} SELECT conv_id, turn, line_no, line FROM lines"
     sql["csv_roundtrip"] = f"WITH {DOCS} SELECT id, text, label, emotion FROM docs"

@@ -24,7 +24,7 @@ from textloom.operators.vocabulary import (
 from textloom.plans.corpus import (
     LANGS, cleaned_documents, content_split, documents, folded_train, naive_bayes, table,
 )
-from textloom.sources.labelled import load_labelled_csv, union_splits as union_of_splits, write_labelled_csv
+from textloom.sources.labelled import load_labelled_csv, load_splits, union_splits as union_of_splits, write_labelled_csv
 from textloom.sources.lines import line_rows, read_line_files
 from textloom.sources.synthetic import synthetic_corpus as generate
 from textloom.streaming.score import running_accuracy
@@ -48,7 +48,7 @@ def load_labelled(spark, sf_dir):
     raw = documents(spark, sf_dir).select(
         F.col("id").alias(" ID"), F.col("text").alias(" Text "), F.col("emotion").alias("EMOTION "))
     raw.write.csv(path, header=True, escape='"')
-    df = load_labelled_csv(spark, path, ["en", "fr", "de"], multi_line=True)
+    df = load_labelled_csv(spark, path, ["en", "fr", "de"])
     return df.select(F.col("id").cast("bigint").alias("id"), "text", "label", "emotion")
 
 
@@ -60,7 +60,7 @@ def load_labelled_names(spark, sf_dir):
     text = F.when(F.pmod("id", F.lit(4)) == 0, F.col("emotion")).when(F.pmod("id", F.lit(4)) == 1, number).when(
         F.pmod("id", F.lit(4)) == 2, F.concat(F.lit(" "), number, F.lit(".0 ")))
     documents(spark, sf_dir).select("id", "text", text.alias("Label")).write.csv(path, header=True, escape='"')
-    df = load_labelled_csv(spark, path, LANGS, multi_line=True)
+    df = load_labelled_csv(spark, path, LANGS)
     return df.select(F.col("id").cast("bigint").alias("id"), "label", "emotion")
 
 
@@ -84,6 +84,19 @@ def union_splits(spark, sf_dir):
     }, LANGS).select("text", "label", "emotion")
 
 
+@query
+def load_splits_files(spark, sf_dir):
+    """Splits as CSV files, their columns in different orders, labels as names, decimals and whole numbers."""
+    docs, path = documents(spark, sf_dir), scratch_path(spark, "splits")
+    parts = {
+        "train": docs.select("text", F.col("emotion").alias("label")),
+        "validation": docs.select(F.concat("label", F.lit(".0")).alias(" Label"), F.col("text").alias("TEXT ")),
+        "test": docs.select("label", "id", "text")}
+    for k, (name, rows) in enumerate(parts.items()):
+        write_labelled_csv(rows.where(F.pmod("id", F.lit(3)) == k), f"{path}/{name}")
+    return load_splits(spark, {name: f"{path}/{name}" for name in parts}, "csv", LANGS)
+
+
 @query
 def synthetic_corpus(spark, sf_dir):
     return generate(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id")))
@@ -98,7 +111,7 @@ def line_source(spark, sf_dir):
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "roundtrip")
     write_labelled_csv(documents(spark, sf_dir).select("id", "text", "label", "emotion"), path)
-    df = load_labelled_csv(spark, path, LANGS, multi_line=True)
+    df = load_labelled_csv(spark, path, LANGS)
     return df.select(F.col("id").cast("bigint").alias("id"), "text", "label", "emotion")
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from textloom.fixed_values import EMOTIONS
 from textloom.operators.lookups import id_to_name, name_to_id
+from textloom.sources.delimited import read_csv
 from textloom.sources.synthetic import synthetic_corpus
 
 COLUMNS = ["text", "label", "emotion"]
@@ -54,19 +55,14 @@ def load_labelled_csv(
     spark: SparkSession,
     path: str,
     labels: Sequence[str] = EMOTIONS,
-    multi_line: bool = False,
     null_value: str | None = None,
 ) -> DataFrame:
     """Header in any case and padding; every column is read as text, so there is no inference pass.
 
-    `label` holds class names or whole numbers. Spark splits large files; pass `multi_line=True` where fields hold line
-    breaks, and every file is one task.
+    `label` holds class names or whole numbers. Fields may hold line breaks, and large files are split all the same.
     Carried columns: text, label, emotion, and id where the file has one.
     """
-    options = {"header": True, "multiLine": multi_line, "escape": '"'}
-    if null_value is not None:
-        options["nullValue"] = null_value
-    df = normalise_header(spark.read.csv(path, **options))
+    df = normalise_header(read_csv(spark, path, null_value))
     check_columns(df)
     df = _complete(df, labels)
     keep = (["id"] if "id" in df.columns else []) + COLUMNS
@@ -87,13 +83,15 @@ def union_splits(splits: Mapping[str, DataFrame], labels: Sequence[str] = EMOTIO
 
 def load_splits(
     spark: SparkSession, paths: Mapping[str, str], fmt: str = "parquet", labels: Sequence[str] = EMOTIONS,
-    multi_line: bool = False,
 ) -> DataFrame:
-    schema = T.StructType([T.StructField("text", T.StringType()), T.StructField("label", T.LongType())])
-    reader = spark.read.schema(schema)
+    """Splits with the columns text and label (a whole number). In a CSV they go by its header, and labels may be class
+    names too, as in `load_labelled_csv`."""
     if fmt == "csv":
-        reader = reader.options(header=True, multiLine=multi_line, escape='"')
-    return union_splits({n: reader.format(fmt).load(p) for n, p in paths.items()}, labels).select(*COLUMNS)
+        splits = {n: load_labelled_csv(spark, p, labels).select("text", "label") for n, p in paths.items()}
+    else:
+        schema = T.StructType([T.StructField("text", T.StringType()), T.StructField("label", T.LongType())])
+        splits = {n: spark.read.schema(schema).format(fmt).load(p) for n, p in paths.items()}
+    return union_splits(splits, labels).select(*COLUMNS)
 
 
 def load_corpus(
