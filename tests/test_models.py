@@ -4,8 +4,9 @@ from pyspark.sql import functions as F
 
 from textloom.functions import with_tokens
 from textloom.operators.embed import fit_word2vec, mean_pool, word_vectors
-from textloom.operators.lemma import fit_lemmas, lemmatise
+from textloom.operators.lemma import LemmaMap, fit_lemmas, lemmatise
 from textloom.operators.split import fit_folds, fit_split
+from textloom.operators.stages import TermMaker, TextCleaner
 from textloom.operators.vocabulary import fit_vocabulary
 from textloom.plans.registry import model_spec, register_model
 from textloom.plans.train import (
@@ -128,6 +129,45 @@ def test_lemmas_in_the_pipeline(spark):
     assert a == b and a[0] == ["cat", "walk", "home"] and a[3] == []
 
 
+def test_lemma_map(spark):
+    words = {"cats": "cat", "ran": "run", "mice": "mouse", "é": "e", "a" * 500: "a", "running": "run", "zz": "", "better": "good"}
+    table = spark.createDataFrame(list(words.items()), "token string, lemma string")
+    known = LemmaMap.of(table)
+    assert {w: known.get(w) for w in words} == words and len(known) == len(words)
+    assert [known.get(w) for w in ("cat", "", "aaa", "zzz", "É")] == ["cat", "", "aaa", "zzz", "É"]
+    assert LemmaMap.of(table.limit(0)).get("cats") == "cats"
+    big = LemmaMap.of(spark.range(300_000).selectExpr("concat('w', id, 's') AS token", "concat('w', id) AS lemma"))
+    assert [big.get(f"w{k}s") for k in (0, 7, 299_999)] == ["w0", "w7", "w299999"] and len(big.forms) == 1
+
+
+def test_lemma_map_has_a_bound(spark, monkeypatch):
+    import textloom.operators.lemma as module
+
+    monkeypatch.setattr(module, "MAP_BYTES", 10)
+    with pytest.raises(ValueError, match="too many"):
+        LemmaMap.of(spark.createDataFrame([("cats", "cat")], "token string, lemma string"))
+
+
+def test_saved_lemmas_in_a_stream(spark, tmp_path):
+    """The table of lemmas is saved with the model, and a stream gives the tokens of a batch."""
+    df = spark.createDataFrame([(k, f"cats walked home{'s' * (k % 2)} the cat walk home") for k in range(40)] + [(40, None)],
+                               "id bigint, text string")
+    lemmas = fit_lemmas(with_tokens(df, min_token_len=1))
+    model = PipelineModel([TextCleaner(lemmas), TermMaker()])
+    model.write().overwrite().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    df.write.parquet(str(tmp_path / "in"))
+    stream = again.transform(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))).select("id", "tokens")
+    stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    got = {r.id: r.tokens for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {r.id: r.tokens for r in lemmatise(with_tokens(df, min_token_len=1), lemmas).collect()}
+    assert got[1] == ["cat", "walk", "home", "cat", "walk", "home"] and got[40] == []
+    plain = PipelineModel([TextCleaner()])
+    plain.write().overwrite().save(str(tmp_path / "plain"))
+    assert PipelineModel.load(str(tmp_path / "plain")).transform(df).where("id = 1").first().tokens[0] == "cats"
+
+
 def test_word2vec(spark, ready, tmp_path):
     split, train, _, _ = ready
     model = fit_word2vec(train, vector_size=8, epochs=1, partitions=1)

@@ -6,6 +6,9 @@ the words the corpus itself uses in `min_df` documents or more. Verb forms are t
 
 from __future__ import annotations
 
+import os
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -77,6 +80,50 @@ def lemmatise(
     )
 
 
+#: Bytes of a map of lemmas that is sent to the workers; some ten million lemmas take them.
+MAP_BYTES = 256 * 1024 * 1024
+
+
+class LemmaMap:
+    """token -> lemma in little memory: the sorted tokens as one string, and of each how many bytes to cut and which
+    ending to add. Endings are few, as most lemmas come from suffix rules. Looked up by bisection."""
+
+    def __init__(self, words: bytes, ends: np.ndarray, cuts: np.ndarray, endings: np.ndarray, forms: list[bytes]):
+        self.words, self.ends, self.cuts, self.endings, self.forms = words, ends, cuts, endings, forms
+
+    @staticmethod
+    def of(lemmas: DataFrame) -> LemmaMap:
+        """From (token, lemma), which is measured before it comes to the driver."""
+        rows, size = lemmas.agg(
+            F.count("*"), F.coalesce(F.sum(F.octet_length("token") + F.octet_length("lemma")), F.lit(0))).first()
+        if size + 16 * rows > MAP_BYTES:
+            raise ValueError(f"{rows} lemmas of {size} bytes are too many for a stage: clean with operators.lemma.lemmatise")
+        table = lemmas.select("token", "lemma").toArrow()
+        pairs = sorted((t.encode(), w.encode()) for t, w in zip(*(c.to_pylist() for c in table.columns)))
+        forms: dict[bytes, int] = {}
+        cuts, endings = np.zeros(len(pairs), np.uint16), np.zeros(len(pairs), np.int32)
+        for k, (token, lemma) in enumerate(pairs):
+            common = len(os.path.commonprefix([token, lemma]))
+            cuts[k], endings[k] = len(token) - common, forms.setdefault(lemma[common:], len(forms))
+        return LemmaMap(b"".join(t for t, _ in pairs), np.cumsum([0, *(len(t) for t, _ in pairs)]), cuts, endings, list(forms))
+
+    def __len__(self) -> int:
+        return len(self.cuts)
+
+    def get(self, token: str) -> str:
+        """Its lemma, else the token."""
+        key, low, high = token.encode(), 0, len(self.cuts)
+        while low < high:
+            mid = (low + high) // 2
+            if self.words[self.ends[mid]:self.ends[mid + 1]] < key:
+                low = mid + 1
+            else:
+                high = mid
+        if low == len(self.cuts) or self.words[self.ends[low]:self.ends[low + 1]] != key:
+            return token
+        return (key[:len(key) - self.cuts[low]] + self.forms[self.endings[low]]).decode()
+
+
 def fit_lemmas(df: DataFrame, tokens_col: str = "tokens", lexicon: DataFrame | None = None, min_df: int = 2) -> DataFrame:
     tokens = materialise(token_frequencies(df, tokens_col))
     return materialise(lemma_table(tokens, lexicon, min_df))

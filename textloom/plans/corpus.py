@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textloom.cluster import spread, write_and_read
 from textloom.functions.cleaning import clean_text, with_tokens
+from textloom.operators.lemma import fit_lemmas, lemmatise
 from textloom.operators.lookups import name_to_id
 from textloom.operators.naive_bayes import fit_nb, nb_predict, nb_scores
 from textloom.operators.split import SplitModel, fit_folds, fit_split
@@ -27,16 +28,23 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         name_to_id("lang", LANGS).alias("label"))
 
 
+def lemmatised_documents(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents with tokens (lemmas) and content, and the table of lemmas (token, lemma). Cleaning is the costliest step
+    and several passes follow, so its result is written once; each pass reads the columns it needs."""
+    docs = write_and_read(with_tokens(spread(documents(spark, sf_dir)), min_token_len=1), "cleaned")
+    lemmas = fit_lemmas(docs)
+    docs = write_and_read(lemmatise(docs, lemmas), "lemmatised")
+    return docs.withColumn("content", clean_text("tokens")), lemmas
+
+
 def cleaned_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with tokens and content. Cleaning is the costliest step and several passes follow,
-    so its result is written once; each pass reads the columns it needs."""
-    docs = write_and_read(with_tokens(spread(documents(spark, sf_dir))), "cleaned")
-    return docs.withColumn("content", clean_text("tokens"))
+    return lemmatised_documents(spark, sf_dir)[0]
 
 
 @dataclass
 class NaiveBayesRun:
     corpus: DataFrame  # cleaned documents with their split
+    lemmas: DataFrame
     vocab: Vocabulary
     weights: DataFrame
 
@@ -58,11 +66,11 @@ def content_split(corpus: DataFrame) -> SplitModel:
 
 
 def naive_bayes(spark: SparkSession, sf_dir: str) -> NaiveBayesRun:
-    corpus = cleaned_documents(spark, sf_dir)
+    corpus, lemmas = lemmatised_documents(spark, sf_dir)
     corpus = content_split(corpus).transform(corpus)
     train = corpus.where("split = 'train'")
     vocab = fit_vocabulary(train)
-    return NaiveBayesRun(corpus, vocab, fit_nb(train, vocab, len(LANGS)))
+    return NaiveBayesRun(corpus, lemmas, vocab, fit_nb(train, vocab, len(LANGS)))
 
 
 def folded_train(spark: SparkSession, sf_dir: str) -> DataFrame:

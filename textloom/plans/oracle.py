@@ -81,6 +81,36 @@ def tokenised(source: str, out: str, min_len: int = 2) -> str:
 TOKS = f"{DOCS},\n{tokenised('docs', 'toks')}"
 
 
+TOKEN_DF = "tdf AS (SELECT token, count(DISTINCT id) AS df FROM (SELECT id, unnest(tokens) AS token FROM toks1) GROUP BY token)"
+
+
+def lemmas() -> str:
+    rules = [(0, *r) for r in VERB_SUFFIXES] + [(1, *r) for r in NOUN_SUFFIXES]
+    proposals = " UNION ALL ".join(
+        f"SELECT token, {kind} AS kind, left(token, length(token) - {len(old)}) || {q(new)} AS lemma "
+        f"FROM tdf WHERE suffix(token, {q(old)})" for kind, old, new in rules)
+    irregular = ", ".join(f"({q(a)}, {q(b)})" for a, b in IRREGULAR_FORMS.items())
+    return f"""{DOCS}, {tokenised('docs', 'toks1', 1)}, {TOKEN_DF},
+irregular(token, lemma) AS (VALUES {irregular}),
+proposed AS ({proposals}),
+best AS (SELECT token, arg_min(lemma, (kind, length(lemma), lemma)) AS lemma FROM proposed
+  WHERE lemma IN (SELECT token FROM tdf WHERE df >= 2) GROUP BY token),
+lemma_of AS (SELECT t.token, coalesce(i.lemma, b.lemma, t.token) AS lemma, t.df
+  FROM tdf t LEFT JOIN irregular i USING (token) LEFT JOIN best b USING (token))"""
+
+
+def lemmatised(source: str, out: str) -> str:
+    """CTEs from tokenised rows (tokens of any length) to out: tokens and content of lemmas."""
+    return f"""{out}_u AS (SELECT id, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS pos FROM {source}),
+{out}_l AS (SELECT id, list(coalesce(lemma, token) ORDER BY pos) AS tokens FROM {out}_u LEFT JOIN lemma_of USING (token)
+  WHERE length(coalesce(lemma, token)) >= 2 GROUP BY id),
+{out} AS (SELECT s.* EXCLUDE (tokens, content), coalesce(l.tokens, []) AS tokens, array_to_string(coalesce(l.tokens, []), ' ') AS content
+  FROM {source} s LEFT JOIN {out}_l l USING (id))"""
+
+
+LEMMA_TOKS = f"{lemmas()},\n{lemmatised('toks1', 'toks')}"
+
+
 def grams(source: str, out: str, key: str = "id", bigrams: bool = True) -> str:
     """CTE out: (id, term, tf) of source's content."""
     words = f"""{out}_f AS (SELECT {key} AS id, regexp_extract_all(content, {q(FEATURE_TOKEN)}) AS f FROM {source}),
@@ -111,10 +141,11 @@ def three_way(items: str, out: str) -> str:
   JOIN {out}_c c USING (label) JOIN {out}_a a USING (label) JOIN {out}_b b USING (label))"""
 
 
-ID_SPLIT = f"""{DOCS}, id_items AS (SELECT id, label, md5(id || ':42') AS key, id::VARCHAR AS tie FROM docs),
+ID_ITEMS = f"""id_items AS (SELECT id, label, md5(id || ':42') AS key, id::VARCHAR AS tie FROM docs),
 {three_way('id_items', 'id_split')}"""
+ID_SPLIT = f"{DOCS}, {ID_ITEMS}"
 
-CONTENT_SPLIT = f"""{TOKS},
+CONTENT_SPLIT = f"""{LEMMA_TOKS},
 items AS (SELECT content, md5(content || ':42') AS key, '' AS tie, min(label) AS label FROM toks GROUP BY content),
 {three_way('items', 'item_split')},
 corpus AS (SELECT t.id, t.text, t.emotion, t.label, t.content, t.tokens, s.split FROM toks t JOIN item_split s USING (content))"""
@@ -214,24 +245,6 @@ LINES = f"""lines AS (SELECT conv_id, turn, (pos - 1)::INT AS line_no, regexp_re
 WORDS = f"list_filter(regexp_split_to_array(coalesce(text, ''), '[{WHITE_SPACE}]+'), lambda t: t <> '')"
 LENGTHS = f"{DOCS}, lens AS (SELECT id, emotion, len({WORDS}) AS x FROM docs)"
 
-TOKEN_DF = "tdf AS (SELECT token, count(DISTINCT id) AS df FROM (SELECT id, unnest(tokens) AS token FROM toks1) GROUP BY token)"
-
-
-def lemmas() -> str:
-    rules = [(0, *r) for r in VERB_SUFFIXES] + [(1, *r) for r in NOUN_SUFFIXES]
-    proposals = " UNION ALL ".join(
-        f"SELECT token, {kind} AS kind, left(token, length(token) - {len(old)}) || {q(new)} AS lemma "
-        f"FROM tdf WHERE suffix(token, {q(old)})" for kind, old, new in rules)
-    irregular = ", ".join(f"({q(a)}, {q(b)})" for a, b in IRREGULAR_FORMS.items())
-    return f"""{DOCS}, {tokenised('docs', 'toks1', 1)}, {TOKEN_DF},
-irregular(token, lemma) AS (VALUES {irregular}),
-proposed AS ({proposals}),
-best AS (SELECT token, arg_min(lemma, (kind, length(lemma), lemma)) AS lemma FROM proposed
-  WHERE lemma IN (SELECT token FROM tdf WHERE df >= 2) GROUP BY token),
-lemma_of AS (SELECT t.token, coalesce(i.lemma, b.lemma, t.token) AS lemma, t.df
-  FROM tdf t LEFT JOIN irregular i USING (token) LEFT JOIN best b USING (token))"""
-
-
 def draw(options: str, salt: str) -> str:
     return f"(('0x' || substr(md5(id || ':42:{salt}'), 1, 8))::BIGINT % {options})"
 
@@ -304,11 +317,11 @@ def model_sql() -> dict[str, str]:
     sql["grid_search"] = f'SELECT grid_idx, c AS "C", true AS consistent FROM (VALUES {points}) v(grid_idx, c)'
     sweep = ", ".join(f"({i}, {h}, {m})" for i, (h, m) in enumerate(product(SWEEP_HIDDEN, SWEEP_ITERATIONS)))
     sql["sweep_holdout"] = f"SELECT grid_idx, hidden, max_iter, true AS consistent FROM (VALUES {sweep}) v(grid_idx, hidden, max_iter)"
-    sql["score_batch"] = f"""WITH {CONTENT_SPLIT}, bench AS (SELECT item_id AS id, text FROM benchmark), {tokenised('bench', 'btoks')}
+    sql["score_batch"] = f"""WITH {CONTENT_SPLIT}, bench AS (SELECT item_id AS id, text FROM benchmark), {tokenised('bench', 'btoks1', 1)}, {lemmatised('btoks1', 'btoks')}
 SELECT split, id, len(tokens) = 0 AS unknown FROM corpus UNION ALL SELECT 'benchmark', id, len(tokens) = 0 FROM btoks"""
     sql["stream_score"] = "SELECT count(*) AS n_rows, 0::BIGINT AS mismatches FROM documents"
     sql["training_history"] = "SELECT true AS improves"
-    sql["word2vec_embed"] = f"""WITH {TOKS}, placed AS (SELECT id, unnest(tokens) AS token FROM toks),
+    sql["word2vec_embed"] = f"""WITH {LEMMA_TOKS}, placed AS (SELECT id, unnest(tokens) AS token FROM toks),
 often AS (SELECT token FROM placed GROUP BY token HAVING count(*) >= {MIN_COUNT}),
 seen AS (SELECT DISTINCT id FROM placed JOIN often USING (token))
 SELECT d.id, {VECTOR_SIZE} AS size, s.id IS NULL AS zero FROM docs d LEFT JOIN seen s USING (id)"""
@@ -381,15 +394,15 @@ SELECT id, len(f)::INT AS n, array_to_string(f, ' ') AS features FROM f"""
 SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM tc GROUP BY term"""
     sql["vocabulary_topk"] = f"""WITH {TOKS}, {grams('toks', 'tc')}, {vocabulary('tc', 'vocab', 'toks', 2000)}
 SELECT term, idx, df, cf, round(idf, 6) AS idf FROM vocab"""
-    fitted = f"""{ID_SPLIT}, {tokenised('docs', 'toks')},
+    fitted = f"""{LEMMA_TOKS}, {ID_ITEMS},
 train AS (SELECT toks.* FROM toks JOIN id_split USING (id) WHERE split = 'train'),
 {grams('train', 'tc')}, {vocabulary('tc', 'vocab', 'train')}"""
     sql["tfidf_fit_transform"] = f"WITH {fitted} {tfidf('tc', 'vocab')}"
     sql["tfidf_transform"] = f"""WITH {fitted}, bench AS (SELECT item_id AS id, text FROM benchmark),
-{tokenised('bench', 'btoks')}, {grams('btoks', 'btc')}, {grams('toks', 'atc')},
+{tokenised('bench', 'btoks1', 1)}, {lemmatised('btoks1', 'btoks')}, {grams('btoks', 'btc')}, {grams('toks', 'atc')},
 a AS ({tfidf('atc', 'vocab')}), b AS ({tfidf('btc', 'vocab')})
 SELECT id, split, term, weight FROM a JOIN id_split USING (id) UNION ALL SELECT id, 'benchmark', term, weight FROM b"""
-    sql["embed_mean_pool"] = f"""WITH {TOKS}, placed AS (SELECT id, unnest(tokens) AS token FROM toks),
+    sql["embed_mean_pool"] = f"""WITH {LEMMA_TOKS}, placed AS (SELECT id, unnest(tokens) AS token FROM toks),
 w AS (SELECT token, ('0x' || substr(md5(token || ':42:vec'), 1, 8))::BIGINT % (SELECT count(*) FROM embeddings) AS vec_id
   FROM placed GROUP BY token HAVING count(DISTINCT id) >= 2),
 v AS (SELECT token, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS dim FROM w JOIN embeddings USING (vec_id)),
@@ -418,7 +431,7 @@ FROM scored JOIN corpus USING (id)"""
 FROM pred JOIN corpus USING (id)"""
     sql["score_unknown"] = f"""WITH {NB}, {LINES},
 turns AS (SELECT conv_id || '/' || turn || '/' || line_no AS id, line AS text FROM lines),
-{tokenised('turns', 'tt')}, {grams('tt', 'ttc')}, {nb_scored('tt', 'ttc', 'ts')}, {nb_predicted('ts', 'tp')}
+{tokenised('turns', 'tt1', 1)}, {lemmatised('tt1', 'tt')}, {grams('tt', 'ttc')}, {nb_scored('tt', 'ttc', 'ts')}, {nb_predicted('ts', 'tp')}
 SELECT id, {name_of('prediction')} AS emotion, round(max(p), 6) AS top_probability FROM tp JOIN tp_q USING (id) GROUP BY id, prediction"""
     sql["argmax_class"] = f"""WITH {NB}, {nb_scored('corpus', 'tc', 'scored')}
 SELECT id, any_value(split) AS split, min(class) AS label FROM (

@@ -22,7 +22,7 @@ from textloom.operators.vocabulary import (
     document_frequencies, fit_vocabulary, term_rows, terms_of, tfidf_rows,
 )
 from textloom.plans.corpus import (
-    LANGS, cleaned_documents, content_split, documents, folded_train, naive_bayes, table,
+    LANGS, cleaned_documents, content_split, documents, folded_train, lemmatised_documents, naive_bayes, table,
 )
 from textloom.sources.labelled import load_labelled_csv, load_splits, union_splits as union_of_splits, write_labelled_csv
 from textloom.sources.lines import line_rows, read_line_files
@@ -279,10 +279,11 @@ def tfidf_fit_transform(spark, sf_dir):
 @query
 def tfidf_transform(spark, sf_dir):
     """Fitted on the train split, applied to all splits and to the texts of another table in one pass."""
-    corpus = cleaned_documents(spark, sf_dir)
+    corpus, lemmas = lemmatised_documents(spark, sf_dir)
     corpus = fit_split(corpus).transform(corpus).select("id", "tokens", "split")
     vocab = fit_vocabulary(corpus.where("split = 'train'"))
-    unseen = with_tokens(table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text"))
+    unseen = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), "text")
+    unseen = write_and_read(lemmatise(with_tokens(unseen, min_token_len=1), lemmas), "unseen")
     rows = corpus.unionByName(unseen.select("id", "tokens", F.lit("benchmark").alias("split")))
     return tfidf_rows(rows, vocab, keep=["split"]).select("id", "split", "term", F.round("weight", 6).alias("weight"))
 
@@ -355,7 +356,8 @@ def score_unknown(spark, sf_dir):
     lines = line_rows(table(spark, sf_dir, "conversations").select("conv_id", "turn", "text"))
     lines = lines.select(
         F.concat_ws("/", "conv_id", "turn", "line_no").alias("id"), F.col("line").alias("text"))
-    scored = predict_nb(score_nb(with_tokens(spread(lines)), run.weights, run.vocab, len(LANGS)))
+    tokens = lemmatise(with_tokens(spread(lines), min_token_len=1), run.lemmas)
+    scored = predict_nb(score_nb(tokens, run.weights, run.vocab, len(LANGS)))
     return scored.select("id", predicted_name("prediction", LANGS).alias("emotion"),
                          F.round(F.array_max("probability"), 6).alias("top_probability"))
 
@@ -444,8 +446,9 @@ def batch_accuracy(spark, sf_dir):
 @query
 def stream_batch_accuracy(spark, sf_dir):
     """The same table, kept up by a stream over the stored predictions."""
-    outcomes = write_and_read(naive_bayes(spark, sf_dir).outcomes(), "outcomes")
-    return running_accuracy(outcomes, LANGS)
+    outcomes, folder = naive_bayes(spark, sf_dir).outcomes(), scratch_path(spark, "outcomes")
+    outcomes.write.parquet(folder)
+    return running_accuracy(spark, folder, outcomes.schema, LANGS)
 
 
 def _cv_scores(spark, sf_dir):
