@@ -108,3 +108,18 @@ def test_output_alphabet(spark, texts):
 def test_clean_text_joins(spark):
     df = spark.createDataFrame([(["a", "b"],), ([],)], "t array<string>")
     assert [r[0] for r in df.select(clean_text("t")).collect()] == ["a b", ""]
+
+
+def test_fold_negation(spark):
+    from textloom.operators.stages import TextCleaner
+    from textloom.operators.vocabulary import terms_of
+
+    df = spark.createDataFrame([(1, "I don't like it, can't you see? n't"), (2, "not bad"), (3, "")], "id int, text string")
+    kept = {r.id: r.tokens for r in with_tokens(df).collect()}
+    folded = with_tokens(df, fold_negation=True)
+    assert {r.id: r.tokens for r in folded.collect()} == {k: ["not" if t == "n't" else t for t in v] for k, v in kept.items()}
+    assert "n't" in kept[1] and kept[2] == ["not", "bad"] and kept[3] == []
+    terms = {r.id: r.t for r in folded.select("id", terms_of("tokens", (1, 1)).alias("t")).collect()}
+    assert terms[1].count("not") == kept[1].count("n't")
+    staged = {r.id: r.tokens for r in TextCleaner(foldNegation=True).transform(df).collect()}
+    assert staged == {r.id: r.tokens for r in folded.collect()}

@@ -100,9 +100,12 @@ def with_tokens(
     remove_stopwords: bool = True,
     min_token_len: int = 2,
     custom_stopwords: Iterable[str] = (),
+    fold_negation: bool = False,
 ) -> DataFrame:
     """Add the cleaned tokens, without lemmas (see `operators.lemma` for those).
 
+    `fold_negation` makes "not" of the token "n't", which terms otherwise drop, as they have letters only.
+
     The normalised text is a column of its own because array functions with lambdas are evaluated
     outside generated code and would run its regular expressions once per reference.
     """
@@ -112,9 +115,12 @@ def with_tokens(
         long_enough = F.length(t) >= max(min_token_len, 1)
         return long_enough & ~t.isin(stop) if remove_stopwords else long_enough
 
+    def words(parts: Column) -> Column:
+        return F.transform(parts, lambda t: F.when(t == "n't", "not").otherwise(t)) if fold_negation else parts
+
     return (
         df.withColumn("_normalised", normalise_text(text_col))
-        .withColumn(out, F.filter(_word_parts("_normalised"), keep))
+        .withColumn(out, F.filter(words(_word_parts("_normalised")), keep))
         .drop("_normalised")
     )
 

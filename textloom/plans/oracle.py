@@ -357,6 +357,9 @@ WHERE regexp_replace(part, {STRIP}, '', 'g') <> ''"""
     both = "concat_ws(' ', url, html)"
     sql["clean_pages"] = f"SELECT page_id, {normalise('html')} AS cleaned, {normalise(both)} AS cleaned_with_url FROM pages"
     sql["clean_edge_cases"] = f"""{edge_docs()} SELECT id, cleaned, array_to_string({tokens('cleaned')}, '|') AS tokens FROM n"""
+    folded = f"list_transform({tokens('cleaned')}, lambda t: CASE WHEN t = 'n''t' THEN 'not' ELSE t END)"
+    sql["fold_negation"] = f"""{edge_docs()} SELECT id, array_to_string(list_filter({folded},
+  lambda t: NOT list_contains({STOP}, t) AND length(t) >= 2), ' ') AS tokens FROM n"""
     sql["tokenise"] = f"WITH {TOKS} SELECT id, array_to_string(raw_tokens, ' ') AS tokens FROM toks"
     sql["remove_stopwords"] = f"""WITH {DOCS}, {tokenised('docs', 'toks', 1)}
 SELECT id, len(tokens)::INT AS n_tokens, content AS tokens FROM toks"""

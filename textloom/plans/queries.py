@@ -172,6 +172,12 @@ def clean_edge_cases(spark, sf_dir):
     return norm.select("id", "cleaned", F.array_join(tokenise("cleaned"), "|").alias("tokens"))
 
 
+@query
+def fold_negation(spark, sf_dir):
+    """Tokens of documents and hard cases, with n't as a word that features keep."""
+    return with_tokens(decorated(spark, sf_dir), fold_negation=True).select("id", clean_text("tokens").alias("tokens"))
+
+
 @query
 def tokenise_(spark, sf_dir):
     norm = spread(documents(spark, sf_dir)).select("id", normalise_text("text").alias("n"))
