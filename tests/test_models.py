@@ -17,7 +17,7 @@ from textloom.fixed_values import EMOTIONS, UNKNOWN
 from textloom.sources import synthetic_corpus
 from textloom.streaming.score import score_stream
 
-LIGHT = {"svm": {"maxIter": 10}, "rf": {"numTrees": 10, "maxDepth": 8}, "gb": {"maxIter": 3, "top": 60},
+LIGHT = {"svm": {"maxIter": 10}, "rf": {"numTrees": 10, "maxDepth": 8}, "gb": {"maxIter": 3, "maxDepth": 3},
          "mlp": {"top": 60, "hidden": 16, "maxIter": 40}, "cnb": {}}
 
 

@@ -8,14 +8,14 @@ from itertools import product
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.classification import (
-    GBTClassifier, MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier,
+    MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier,
 )
 from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.sql import DataFrame, functions as F
 
 from textloom.fixed_values import GRIDS, SEED
+from textloom.operators.boosted_trees import Boost, BoostedTrees, tune as tune_boosting
 from textloom.operators.linear_svm import fit_calibrated, tune
-from textloom.operators.one_vs_rest import OneVsRestMargins
 
 # Spark's trees go no deeper.
 DEEPEST = 30
@@ -51,7 +51,7 @@ class Spec:
 
 
 def reduced(top: int) -> UnivariateFeatureSelector:
-    """The `top` features that differ most between classes: boosting and dense nets cannot take 50,000."""
+    """The `top` features that differ most between classes: dense nets cannot take 50,000."""
     selector = UnivariateFeatureSelector(
         featuresCol="features", outputCol="reduced", labelCol="label", selectionMode="numTopFeatures")
     return selector.setFeatureType("continuous").setLabelType("categorical").setSelectionThreshold(top)
@@ -84,12 +84,17 @@ def _forest(params: Mapping, data: TrainingData) -> Estimator:
         weightCol="weight", seed=SEED, maxMemoryInMB=512)
 
 
+def _boost_of(params: Mapping) -> Boost:
+    return Boost(params.get("maxIter", 150), params.get("maxDepth", 5), params.get("stepSize", 0.1))
+
+
 def _boosting(params: Mapping, data: TrainingData) -> Estimator:
-    base = GBTClassifier(
-        maxIter=params.get("maxIter", 150), maxDepth=params.get("maxDepth", 5), stepSize=params.get("stepSize", 0.1),
-        subsamplingRate=0.8, seed=SEED, featuresCol="reduced")
-    # A boosted margin m stands for the probability 1 / (1 + exp(-2m)).
-    return Pipeline(stages=[reduced(min(params.get("top", 1_000), data.size)), OneVsRestMargins(base, slope=2.0)])
+    return BoostedTrees(data.size, data.classes, _boost_of(params), SEED)
+
+
+def _tune_boosting(points: Sequence[Mapping], rows: DataFrame, data: TrainingData, folds: int) -> list[list[float]]:
+    """The folds of a point in one training, points that differ in maxIter too."""
+    return tune_boosting(rows, data.size, data.classes, [vars(_boost_of(p)) for p in points], folds, seed=SEED)
 
 
 def _perceptron(params: Mapping, data: TrainingData) -> Estimator:
@@ -125,7 +130,7 @@ def model_spec(name: str) -> Spec:
 
 register_model("svm", None, GRIDS["svm"], _svm_calibrated, _tune_svm)
 register_model("rf", _forest, GRIDS["rf"])
-register_model("gb", _boosting, GRIDS["gb"])
+register_model("gb", _boosting, GRIDS["gb"], tune=_tune_boosting)
 register_model("cnb", _complement_nb, GRIDS["cnb"])
 # A recurrent net over a sequence of length one has no recurrence, so these names mean the same net.
 for _name in ("mlp", "lstm", "gru"):
