@@ -321,7 +321,8 @@ def model_sql() -> dict[str, str]:
 SELECT split, id, len(tokens) = 0 AS unknown FROM corpus UNION ALL SELECT 'benchmark', id, len(tokens) = 0 FROM btoks"""
     sql["stream_score"] = "SELECT count(*) AS n_rows, 0::BIGINT AS mismatches FROM documents"
     sql["training_history"] = "SELECT true AS improves"
-    sql["validation_curves"] = "SELECT unnest(['loss', 'val_loss', 'accuracy', 'val_accuracy']) AS curve, true AS improves"
+    for name in ("validation_curves", "boosting_curves"):
+        sql[name] = "SELECT unnest(['loss', 'val_loss', 'accuracy', 'val_accuracy']) AS curve, true AS improves"
     sql["word2vec_embed"] = f"""WITH {LEMMA_TOKS}, placed AS (SELECT id, unnest(tokens) AS token FROM toks),
 often AS (SELECT token FROM placed GROUP BY token HAVING count(*) >= {MIN_COUNT}),
 seen AS (SELECT DISTINCT id FROM placed JOIN often USING (token))

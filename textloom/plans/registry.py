@@ -7,9 +7,7 @@ from dataclasses import dataclass, field
 from itertools import product
 
 from pyspark.ml import Estimator, Pipeline
-from pyspark.ml.classification import (
-    MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier,
-)
+from pyspark.ml.classification import MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier
 from pyspark.ml.feature import UnivariateFeatureSelector
 from pyspark.sql import DataFrame, functions as F
 
@@ -84,17 +82,17 @@ def _forest(params: Mapping, data: TrainingData) -> Estimator:
         weightCol="weight", seed=SEED, maxMemoryInMB=512)
 
 
-def _boost_of(params: Mapping) -> Boost:
+def boost_of(params: Mapping) -> Boost:
     return Boost(params.get("maxIter", 150), params.get("maxDepth", 5), params.get("stepSize", 0.1))
 
 
 def _boosting(params: Mapping, data: TrainingData) -> Estimator:
-    return BoostedTrees(data.size, data.classes, _boost_of(params), SEED)
+    return BoostedTrees(data.size, data.classes, boost_of(params), SEED)
 
 
 def _tune_boosting(points: Sequence[Mapping], rows: DataFrame, data: TrainingData, folds: int) -> list[list[float]]:
     """The folds of a point in one training, points that differ in maxIter too."""
-    return tune_boosting(rows, data.size, data.classes, [vars(_boost_of(p)) for p in points], folds, seed=SEED)
+    return tune_boosting(rows, data.size, data.classes, [vars(boost_of(p)) for p in points], folds, seed=SEED)
 
 
 def _perceptron(params: Mapping, data: TrainingData) -> Estimator:
