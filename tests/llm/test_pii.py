@@ -1,7 +1,8 @@
 import random
 import re
+import time
 
-from textloom.llm.pii import base_spans, digest_text, find_pii, learn_patterns, redact_pii
+from textloom.llm.pii import _context, base_spans, candidates, digest_text, find_pii, learn_patterns, redact_pii
 
 PARTS = ["a", "@", "@", ".", ".", "1", "23", "255", "0", "-", " ", "+", "(", ")", "b.c", "x@y.z", "12345678901", "٣", "é", "\n", "4111111111111111"]
 
@@ -34,6 +35,22 @@ def test_fixed_patterns():
     base_spans("1" * 200_000 + "@" * 200_000 + "a" * 200_000 + "+1" + " " * 200_000)  # in linear time
 
 
+def test_candidates_and_contexts():
+    r = random.Random(2)
+    for _ in range(5_000):
+        t = "".join(r.choice([*PARTS, "555-867-5309", " at ", " dot com"]) for _ in range(r.randint(0, 16)))
+        base = base_spans(t)
+        loose = candidates(t, [])
+        assert candidates(t, base) == [f for f in loose if all(f[1] <= s or f[0] >= e for s, _, e in base)], t
+        for start, *_ in loose:
+            words = re.findall(r"[^\x20\x09-\x0D]+", t[:start].translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+            assert _context(t, start) == (words[-2:] if start and t[start - 1] in " \t\n\x0b\x0c\r" else [])
+    assert _context("A" * 4300 + " is" + " " * 900 + "5", 5203) == ["a" * 4300, "is"]
+    begin, log = time.time(), "2024-01-02 10.0.0.7 order 5558675309 +1 555 010 1234\n" * 40_000
+    base = base_spans(log)
+    assert len(base) >= 80_000 and len(candidates(log, base)) and time.time() - begin < 60
+
+
 def planted(spark):
     rows = [(i, f"hello there my phone number is +1 (555) 010-{1000 + i} thanks {i}") for i in range(40)]
     rows += [(100 + i, f"some text of the year is 2020{i:03d} and the count {i}") for i in range(40)]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +28,8 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _NUMBER = re.compile(r"(?<![0-9A-Za-z])\(?[0-9](?:[ ().\-/]{0,2}+[0-9])++")
 _SPOKEN = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++(?: ?[\[(]at[\])] ?| at |@)[A-Za-z0-9-]++(?:(?: ?[\[(]dot[\])] ?| dot |\.)[A-Za-z0-9-]++)*+")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_SPACE = frozenset(" \t\n\x0b\x0c\r")
 _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-#: Characters before a span in which its context is looked for.
-_REACH = 400
 
 #: A pattern counts from so many different seeds on, and finds new identifiers from this confidence on.
 MIN_SEEDS, MIN_CONFIDENCE, ROUNDS = 5, 0.5, 3
@@ -98,19 +97,35 @@ def candidates(text: str, base: list[Span]) -> list[tuple[int, int, list[int]]]:
         found += [(m.start(), m.end(), [EMAIL]) for m in _SPOKEN.finditer(text) if "@" in m.group() or "dot" in m.group()]
     if not found:
         return []
-    taken = [(s, e) for s, _, e in base]
-    return [f for f in sorted(found) if all(f[1] <= s or f[0] >= e for s, e in taken)]
+    starts, ends = [], []  # of the base spans, overlapping ones as one
+    for s, _, e in base:
+        if ends and s < ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    free = []
+    for f in sorted(found):
+        before = bisect_left(starts, f[1]) - 1  # the last that begins before the candidate ends
+        if before < 0 or ends[before] <= f[0]:
+            free.append(f)
+    return free
 
 
 def _context(text: str, start: int) -> list[str]:
-    """The two words before a span, or the one that there is, if white space parts them from it."""
-    window = text[max(0, start - _REACH):start]
-    if not window or window[-1] not in " \t\n\x0b\x0c\r":
-        return []
-    words = _WORD.findall(window)
-    if start > _REACH and window[0] not in " \t\n\x0b\x0c\r":
-        words = words[1:]  # may be cut
-    return [w.translate(_LOWER) for w in words[-2:]]
+    """The two words before a span, or the one that there is, if white space parts them from it; however long they are."""
+    words, at = [], start
+    for _ in range(2):
+        end = at
+        while end and text[end - 1] in _SPACE:
+            end -= 1
+        if end == at or not end:  # a word that touches the span, or none
+            break
+        at = end
+        while at and text[at - 1] not in _SPACE:
+            at -= 1
+        words.append(text[at:end].translate(_LOWER))
+    return words[::-1]
 
 
 def _pattern_ids(words: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
