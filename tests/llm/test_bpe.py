@@ -74,3 +74,13 @@ def test_frames(spark, data, library):
     assert len(library.encode(("abc " * 600)[:cut["fit_chars"]], add_special_tokens=False).ids) <= 100
     table = {r["doc_id"]: r["counts"] for r in token_counts.prefix_token_counts(df, data).collect()}
     assert table[2] == [0] and table[1][-1] == len(library.encode("hello  world", add_special_tokens=False).ids)
+
+
+def test_memos_keep_no_text_without_spaces(data):
+    texts = ["汉字" * 1000 + str(i) for i in range(20)] + ["=" * 300, "plain words here"]
+    encoder = bpe.Encoder(load(data))
+    ids = encoder.encode_all(texts)
+    assert [encoder.decode(x) for x in ids] == texts and encoder.encode_all(texts) == ids
+    known = token_counts.WordCounts(load(data))
+    assert [token_counts.count_tokens(known.bpe, t, known) for t in texts] == [len(x) for x in ids]
+    assert max(map(len, encoder.known)) <= bpe.MEMO_CHARS and max(map(len, known)) <= token_counts.MEMO_CHARS

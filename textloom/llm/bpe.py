@@ -13,8 +13,8 @@ from textloom.llm.byte_bpe import ByteBpe, load
 from textloom.llm.common import batch, chunks, map_batches
 from textloom.llm.patterns import spaced, words
 
-#: Distinct parts of texts whose encodings a worker keeps.
-MEMO_WORDS = 300_000
+#: Distinct parts of texts whose encodings a worker keeps, and the longest that it keeps.
+MEMO_WORDS, MEMO_CHARS = 300_000, 64
 
 
 def encode_words(bpe: ByteBpe, distinct: list[str]) -> dict[str, tuple[int, ...]]:
@@ -55,9 +55,14 @@ class Encoder:
         self.known.update(encode_words(self.bpe, list({w for ws in split.values() for w in ws} - self.known.keys())))
         get, special_ids = self.known.__getitem__, self.bpe.special
         self.known.update({part: tuple(chain.from_iterable(map(get, ws))) for part, ws in split.items() if len(ws) != 1})
-        return [list(chain.from_iterable(
+        out = [list(chain.from_iterable(
             (special_ids[ws[0]],) if special else chain.from_iterable(map(get, ws)) for special, ws in parts))
             for parts in cut]
+        for part, ws in split.items():  # a text without spaces is one part
+            if len(part) > MEMO_CHARS:
+                for w in (part, *(w for w in ws if len(w) > MEMO_CHARS)):
+                    self.known.pop(w, None)
+        return out
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bpe.bytes_of.__getitem__, ids)).decode("utf-8", "replace")

@@ -12,8 +12,8 @@ from textloom.llm.byte_bpe import ByteBpe, load
 from textloom.llm.common import batch, chunks, map_batches
 from textloom.llm.patterns import spaced, words
 
-#: Distinct parts of texts whose counts a worker keeps.
-MEMO_WORDS = 500_000
+#: Distinct parts of texts whose counts a worker keeps, and the longest that it keeps.
+MEMO_WORDS, MEMO_CHARS = 500_000, 64
 
 
 class WordCounts(dict):
@@ -29,7 +29,8 @@ class WordCounts(dict):
             count = sum(map(self.__getitem__, parts))
         else:
             count = prefix_table(self.bpe, word.encode())[-1]
-        self[word] = count
+        if len(word) <= MEMO_CHARS:  # a text without spaces is one part
+            self[word] = count
         return count
 
 
