@@ -32,3 +32,14 @@ def test_odd_rows(spark):
     kept = keep_good(docs, AdditiveModel(intercept=-9.0))
     assert kept.columns == docs.columns and kept.count() == 0 and keep_good(docs, AdditiveModel()).count() == 4
     assert score_quality(docs.limit(0), AdditiveModel()).count() == 0
+
+
+def test_rows_are_bounded_where_an_id_repeats(spark, monkeypatch):
+    from textloom.llm import quality
+
+    seen = []
+    monkeypatch.setattr(quality, "fit_additive", lambda x, y: seen.append(len(x)))
+    docs = spark.range(3000).selectExpr("1L AS doc_id", "concat('text ', id) AS text")
+    fit_quality(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int"), max_rows=10)
+    fit_quality(docs.limit(7), spark.createDataFrame([(1, 1)], "doc_id long, quality int"), max_rows=10)
+    assert seen == [10, 7]

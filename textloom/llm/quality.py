@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from textloom.cluster import fits_broadcast
 from textloom.llm.common import batch, chunks, map_batches, nullable
 
 #: Labelled rows that the model is fitted on, about: those with the smallest hashes of their id.
@@ -178,21 +179,25 @@ def _matrix(texts: list[str | None]) -> np.ndarray:
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", text_col: str = "text",
                 id_col: str = "doc_id", max_rows: int = MAX_TRAIN_ROWS) -> AdditiveModel:
-    """Fitted on whole texts of up to about `max_rows` labelled rows; only their features reach the driver.
+    """Fitted on whole texts of at most `max_rows` labelled rows, chosen by a hash of id and text; only their features reach
+    the driver.
 
     Rows of `labels` with a null id or label are left out, ids without a document too; a label other than 1 counts as
-    0, and repeated rows count as often as they occur. Without rows, every score is 0.5; with one class, a constant.
+    0, and repeated rows count as often as they occur, up to that bound. Without rows, every score is 0.5; with one class,
+    a constant.
     """
     wanted = labels.select(labels[id_col].alias("id"), (labels[label_col] == 1).cast("int").alias("label")).where(
         "id IS NOT NULL AND label IS NOT NULL")
-    share = min(1.0, max_rows / max(1, wanted.count()))
-    wanted = wanted.where(F.pmod(F.xxhash64("id"), F.lit(1_000_003)) < int(share * 1_000_003))
-    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(F.broadcast(wanted), "id").select(
-        "label", "text")
-    schema = pa.schema([pa.field("label", pa.int32()), pa.field("x", pa.list_(pa.float64()))])
+    # Twice as many as wanted are drawn by their ids; where that is all of them, or copies of an id, the limit decides.
+    share = min(1.0, 2 * max_rows / max(1, wanted.count()))
+    wanted = wanted.where(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < int(share * (1 << 40)))
+    rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).join(
+        F.broadcast(wanted) if fits_broadcast(wanted) else wanted, "id").select(
+        F.xxhash64("id", "text", "label", F.lit("draw")).alias("draw"), "label", "text")
+    schema = pa.schema([pa.field("draw", pa.int64()), pa.field("label", pa.int32()), pa.field("x", pa.list_(pa.float64()))])
     found = map_batches(
-        rows, lambda: lambda b: batch(schema, [b.column(0), [features(t or "") for t in b.column(1).to_pylist()]]),
-        "label int, x array<double>").toArrow()
+        rows, lambda: lambda b: batch(schema, [b.column(0), b.column(1), [features(t or "") for t in b.column(2).to_pylist()]]),
+        "draw long, label int, x array<double>").orderBy("draw", "label").limit(max_rows).toArrow()
     x = np.array(found.column("x").to_pylist(), np.float64).reshape(-1, len(FEATURES))
     return fit_additive(x, found.column("label").to_numpy())
 
