@@ -84,3 +84,25 @@ def test_memos_keep_no_text_without_spaces(data):
     known = token_counts.WordCounts(load(data))
     assert [token_counts.count_tokens(known.bpe, t, known) for t in texts] == [len(x) for x in ids]
     assert max(map(len, encoder.known)) <= bpe.MEMO_CHARS and max(map(len, known)) <= token_counts.MEMO_CHARS
+
+
+def test_which_tokens_may_follow_each_other(data):
+    b, r = ByteBpe(data), random.Random(5)
+    assert b.by_rank
+    tokens = sorted(b.ids.values())
+    pairs = [(r.choice(tokens), r.choice(tokens)) for _ in range(3000)]
+    pairs += [made[1:] for token, made in b.made.items() if token % 17 == 0]
+    for unit in ("a", " ", "=", "-", "0", "\n"):  # merges of equal pieces
+        runs = [t for n in range(1, 20) if (t := b.ids.get(unit.encode() * n)) is not None]
+        pairs += [(x, y) for x in runs for y in runs]
+    for x, y in pairs:
+        assert b.follows(x, y) == (b.merge(b.bytes_of[x] + b.bytes_of[y]) == [x, y]), (x, y)
+
+
+def test_a_megabyte_without_spaces(data, library):
+    text = "".join(chr(0x4e00 + (k * 7919 + k * k) % 700) for k in range(350_000))
+    encoder = bpe.Encoder(load(data))
+    ids = encoder.encode_all([text])[0]
+    assert ids == library.encode(text, add_special_tokens=False).ids and encoder.decode(ids) == text
+    known = token_counts.WordCounts(load(data))
+    assert token_counts.count_tokens(known.bpe, text, known) == len(ids)

@@ -15,6 +15,10 @@ import ahocorasick
 import regex
 
 
+#: Pairs of tokens of which a worker keeps whether one may follow the other.
+MEMO_PAIRS = 2_000_000
+
+
 def byte_alphabet() -> dict[str, int]:
     """The characters that stand for the 256 bytes in a vocabulary file: printable ones for themselves, the others
     from 256 on, in order."""
@@ -48,7 +52,15 @@ class ByteBpe:
             a, b = pair if isinstance(pair, list) else pair.split(" ")
             left, right = as_bytes(a), as_bytes(b)
             self.merges[self.ids[left], self.ids[right]] = rank, self.ids[left + right]
-        self.size, self.longest = size, max(map(len, self.ids))
+        self.size = size
+        # every way a token can end -> the token that is all of it, or none
+        self.tails: dict[bytes, int | None] = {piece[i:]: None for piece in self.ids for i in range(len(piece))}
+        self.tails.update(self.ids)
+        # the merge that makes a token, where each has one and its parts are made before: then merges go by rank
+        self.made = {token: (rank, *pair) for pair, (rank, token) in self.merges.items()}
+        self.by_rank = len(self.made) == len(self.merges) and all(
+            self.made.get(part, (-1,))[0] < rank for rank, *parts in self.made.values() for part in parts)
+        self._edges: tuple[dict, dict] = {}, {}
         self.endings = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             self.endings.add_word(piece.decode("latin-1"), (i, len(piece)))
@@ -61,7 +73,7 @@ class ByteBpe:
         self._special = regex.compile("|".join(map(regex.escape, names))) if names else None
 
     def merge(self, word: bytes) -> list[int]:
-        """The merges by rank, as defined. Only used to find which tokens may follow each other."""
+        """The merges by rank, as defined. Only used to find which tokens stand alone or may follow each other."""
         out = [self.ids[word[i:i + 1]] for i in range(len(word))]
         while len(out) > 1:
             found = [(m[0], i, m[1]) for i in range(len(out) - 1) if (m := self.merges.get((out[i], out[i + 1])))]
@@ -77,21 +89,52 @@ class ByteBpe:
             ok = self._alone[token] = self.merge(self.bytes_of[token]) == [token]
         return ok
 
+    def _edge(self, token: int, right: int) -> list[tuple[int, float]]:
+        """What stands at the left (0) or right (1) edge of a token while it is put together, each with the rank of the
+        merge that ends it: the token itself, its part at that edge, and so on to a byte."""
+        out = self._edges[right].get(token)
+        if out is None:
+            out, part, until = [], token, float("inf")
+            while True:
+                out.append((part, until))
+                if part not in self.made:
+                    break
+                until, part = self.made[part][0], self.made[part][1 + right]
+            self._edges[right][token] = out
+        return out
+
+    def _joined(self, a: int, b: int) -> bool:
+        """Whether some merge takes a piece on both sides of the border: both must still stand at its rank. At the same
+        rank the pair further left goes first, so one within `a` comes before it and one within `b` after it."""
+        merges, left = self.merges, self._edge(b, 0)
+        for x, x_until in self._edge(a, 1):
+            for y, y_until in left:
+                found = merges.get((x, y))
+                if found is not None and found[0] < x_until and found[0] <= y_until:
+                    return True
+        return False
+
     def follows(self, a: int, b: int) -> bool:
         ok = self._follows.get(a * self.size + b)
         if ok is None:
-            ok = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            if self.by_rank:
+                ok = self.alone(a) and self.alone(b) and not self._joined(a, b)
+            else:
+                ok = self.merge(self.bytes_of[a] + self.bytes_of[b]) == [a, b]
+            if len(self._follows) >= MEMO_PAIRS:
+                self._follows.clear()
             self._follows[a * self.size + b] = ok
         return ok
 
     def extend(self, word: bytes, known: int, last: list[int], start: list[int]) -> None:
         """States of the prefixes longer than `known` bytes: `last[i]` ends the encoding of word[:i] and begins at
-        `start[i]`. Both lists hold what is known, from index 0 to `known`, and are cut or extended in place."""
+        `start[i]`. Both lists hold what is known, from index 0 to `known`, and are cut or extended in place. Tokens that
+        end at a byte are tried from the shortest on, as far as some token ends so; only one of them fits."""
         del last[known + 1:], start[known + 1:]
-        ids, follows, size, longest = self.ids, self._follows, self.size, self.longest
+        tails, follows, size = self.tails, self._follows, self.size
         for end in range(known + 1, len(word) + 1):
-            for begin in range(max(0, end - longest), end):
-                token = ids.get(word[begin:end])
+            for begin in range(end - 1, -1, -1):
+                token = tails[word[begin:end]]
                 if token is None:
                     continue
                 if begin:
