@@ -67,14 +67,28 @@ def test_likeness_of_a_repeated_sentence(spark):
         assert k < 3000 or r["most"] > 0.9
 
 
-def test_text_of_a_fingerprint_keeps_12_bits(spark):
+def test_text_of_a_fingerprint_holds_its_counters(spark):
     parts = ["word"] * 5000 + [f"line {i}" for i in range(700)]
     hashes = [hashlib.md5(p.encode()).hexdigest() for p in parts]
-    for n in (30, 5700):
-        expected = []
+    for n in (1, 30, 4095, 4096, 5700):
+        expected = [n]
         for start in (0, 15):
             numbers = [int(h[start:start + 15], 16) for h in hashes[-n:]]
-            expected += [sum(x >> k & fp.ONES for x in numbers) & fp.MASK for k in range(fp.STEPS)]
+            expected += [sum(x >> k & fp.WIDE_ONES for x in numbers) & fp.MASK for k in range(fp.WIDE)]
         df = spark.createDataFrame([("\n".join(parts[-n:]),)], "t string")
         text = fp.with_fingerprint(df, F.col("t"), "f").select(fp.as_text(F.col("f"))).first()[0]
-        assert text[75:] == "".join("%015x" % x for x in expected) and len(text) == 29 * 15
+        assert text[60:] == "".join("%015x" % x for x in expected) and len(text) == fp.WORDS * 15
+
+
+def test_equals_sql_where_sentences_repeat(spark, tmp_path):
+    import duckdb
+
+    texts = ["word. " * 5000, "word. " * 2100 + "other. " * 2900, None, "", "a. b\nc", "word. " * 4500]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents"))
+    got = fp.fingerprint_edits(spark.read.parquet(str(tmp_path / "documents"))).orderBy("doc_id").collect()
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS FROM '{tmp_path}/documents/*.parquet'")
+    expected = con.sql(fp.sql() + " ORDER BY doc_id")
+    assert [tuple(r[c] for c in expected.columns) for r in got] == expected.fetchall()
+    assert got[0]["near_next"] > 0.5  # 2,100 of 5,000 sentences in common, the others one repeated sentence each

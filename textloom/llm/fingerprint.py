@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 BITS = 60
 MASK = (1 << BITS) - 1
 EXACT = 4          # words of 60 bits from the sha256 of a paragraph
-STEPS = 12         # bits of a counter as written; each of two 60-bit hashes of a sentence is spread over 12 words of 5 counters
-FIELDS = BITS // STEPS
-ONES = sum(1 << (STEPS * f) for f in range(FIELDS))
+STEPS = 12         # bits of a counter while a slice of sentences is added up: 12 words of 5 for each 60-bit hash
+ONES = sum(1 << (STEPS * f) for f in range(BITS // STEPS))
+SLICE = (1 << STEPS) - 1
 WIDE = 30          # bits of a counter in the vector: 30 words of 2 for each hash; no array has 2^29 sentences
 PAIR = BITS // WIDE
 WIDE_ONES = sum(1 << (WIDE * f) for f in range(PAIR))
@@ -64,19 +64,18 @@ def with_fingerprint(df: DataFrame, text: Column, name: str) -> DataFrame:
     text = F.coalesce(text, F.lit(""))
     df = df.withColumn("_lines", F.transform(F.split(text, "\n"), lambda p: F.sha2(p, 256)))
     df = df.withColumn("_parts", F.transform(F.split(text, r"[.!?] |\n"), lambda s: F.md5(s)))
-    df = df.withColumn("_a", F.transform("_parts", lambda m: _number(m, 1)))
-    df = df.withColumn("_b", F.transform("_parts", lambda m: _number(m, 16)))
     exact = _each(EXACT, lambda k: _total(F.col("_lines"), lambda h: _number(h, 1 + 15 * k)))
-    sums = lambda n, ones: F.concat(*[_each(n, lambda k: _total(
-        F.col(c), lambda x: _right(x, k).bitwiseAND(F.lit(ones)))) for c in ("_a", "_b")])
-    df = df.withColumn("_narrow", sums(STEPS, ONES))
-    # counters of so few sentences don't run over, and five of them are added at a time
-    few = F.size("_parts") < (1 << STEPS)
-    bit = lambda h, p: _field(F.get("_narrow", h * STEPS + p % STEPS), STEPS, _part(p, STEPS))
-    both = lambda i: bit(_part(i, WIDE), i % WIDE) + _left(bit(_part(i, WIDE), i % WIDE + WIDE), F.lit(WIDE))
-    counters = F.when(few, _each(2 * WIDE, both)).otherwise(sums(WIDE, WIDE_ONES))
-    return df.withColumn(name, F.concat(exact, F.array(F.size("_parts").cast("long")), counters)).drop(
-        "_lines", "_parts", "_a", "_b", "_narrow")
+    # the sentences of a slice don't run over 12 bits: five counters are added at a time, then made wide. Each step takes
+    # the one before as its argument, so none is computed again for every word
+    slices = F.transform(F.sequence(F.lit(0), _part(F.size("_parts") - 1, SLICE)), lambda k: F.slice("_parts", k * SLICE + 1, SLICE))
+    numbers = F.transform(slices, lambda s: F.array(*[F.transform(s, lambda m: _number(m, at)) for at in (1, 16)]))
+    narrow = F.transform(numbers, lambda ab: F.concat(*[_each(STEPS, lambda i: _total(
+        F.get(ab, h), lambda x: _right(x, i).bitwiseAND(F.lit(ONES)))) for h in (0, 1)]))
+    bit = lambda v, h, p: _field(F.get(v, h * STEPS + p % STEPS), STEPS, _part(p, STEPS))
+    both = lambda v, h, p: bit(v, h, p) + _left(bit(v, h, p + WIDE), F.lit(WIDE))
+    counters = F.aggregate(narrow, F.array_repeat(F.lit(0).cast("long"), 2 * WIDE), lambda acc, v: insert(
+        acc, _each(2 * WIDE, lambda i: both(v, _part(i, WIDE), i % WIDE))))
+    return df.withColumn(name, F.concat(exact, F.array(F.size("_parts").cast("long")), counters)).drop("_lines", "_parts")
 
 
 def insert(fingerprint: Column, paragraphs: Column) -> Column:
@@ -89,14 +88,8 @@ def delete(fingerprint: Column, paragraphs: Column) -> Column:
 
 
 def as_text(fingerprint: Column) -> Column:
-    """4 + 1 + 24 words of 15 hexadecimal digits. The counters are written packed as 12 bits, the sums modulo 2^60."""
-    def packed(i: Column) -> Column:
-        place = lambda p: i % STEPS + p * STEPS
-        word = lambda p: F.get(fingerprint, _part(i, STEPS) * WIDE + place(p) % WIDE + EXACT + 1)
-        return _total(_each(FIELDS, lambda p: _left(_field(word(p), WIDE, _part(place(p), WIDE)), p * STEPS).bitwiseAND(F.lit(MASK))))
-
-    words = F.concat(F.slice(fingerprint, 1, EXACT + 1), _each(2 * STEPS, packed))
-    return F.array_join(F.transform(words, lambda x: F.lpad(F.lower(F.hex(x)), 15, "0")), "")
+    """Its words, each as 15 hexadecimal digits: all that `likeness` reads."""
+    return F.array_join(F.transform(fingerprint, lambda x: F.lpad(F.lower(F.hex(x)), 15, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -200,9 +193,8 @@ def sql() -> str:
     """DuckDB SQL for `fingerprint_edits` over `documents`: a row for each line, sentence and counter, summed by document."""
     number = lambda start: f"('0x' || substr(h, {start}, 15))::BIGINT"
     exact = ", ".join(f"(sum({number(1 + 15 * k)}) & {MASK}::HUGEINT)::BIGINT" for k in range(EXACT))
-    spread = ", ".join(f"(sum(({x} >> {k}) & {ONES}::BIGINT) & {MASK}::HUGEINT)::BIGINT" for x in ("a", "b") for k in range(STEPS))
-    size, half = 1 << STEPS, 1 << (STEPS - 1)
-    square = lambda x: f"sum(((({x}) + {size * size * size + half}) % {size} - {half}) ** 2)::BIGINT"
+    spread = ", ".join(f"(sum(({x} >> {k}) & {WIDE_ONES}::BIGINT) & {MASK}::HUGEINT)::BIGINT" for x in ("a", "b") for k in range(WIDE))
+    square = lambda x: f"sum(({x}) * ({x}))::BIGINT"
     near = lambda d, x, y: (
         f"CASE WHEN {x}.words = {y}.words THEN 1.0::DOUBLE WHEN {x}.length + {y}.length = 0 THEN 0.0::DOUBLE "
         f"ELSE greatest(0.0::DOUBLE, least(1.0::DOUBLE, 1 - {d}.apart::DOUBLE / ({x}.length + {y}.length)::DOUBLE)) END")
@@ -222,8 +214,8 @@ hashes AS (SELECT place, kind, md5(unnest(regexp_split_to_array(text, '[.!?] |\n
 numbers AS MATERIALIZED (SELECT place, kind, {number(1)} AS a, {number(16)} AS b FROM hashes),
 spread AS MATERIALIZED (SELECT place, kind, count(*) AS n, [{spread}] AS words FROM numbers GROUP BY place, kind),
 counters AS MATERIALIZED (
-  SELECT place, kind, n, i, (words[1 + i // {FIELDS}] >> ({STEPS} * (i % {FIELDS}))) & {size - 1} AS c
-  FROM spread, range(0, {2 * STEPS * FIELDS}) r(i)),
+  SELECT place, kind, n, i, (words[1 + i // {PAIR}] >> ({WIDE} * (i % {PAIR}))) & {(1 << WIDE) - 1} AS c
+  FROM spread, range(0, {2 * WIDE * PAIR}) r(i)),
 lengths AS (SELECT place, kind, {square('2 * c - n')} AS length FROM counters GROUP BY place, kind),
 prints AS (
   SELECT s.place, s.kind, heads.words || [s.n] || s.words AS words, length
