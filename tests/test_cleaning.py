@@ -123,3 +123,25 @@ def test_fold_negation(spark):
     assert terms[1].count("not") == kept[1].count("n't")
     staged = {r.id: r.tokens for r in TextCleaner(foldNegation=True).transform(df).collect()}
     assert staged == {r.id: r.tokens for r in folded.collect()}
+
+
+def test_rare_replacements_run_only_where_needed(spark):
+    """Guards leave out no replacement: every run of four of the characters that emoticons have, and of two-part words."""
+    from functools import reduce
+    from itertools import product
+
+    from pyspark.sql import functions as F
+
+    from textloom.functions import cleaning
+
+    parts = [":", "-", ")", "(", "=", "<", "/", "3", "x", "d", ";", ">", "✂"]
+    texts = ["".join(p) for p in product(parts, repeat=4)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = reduce(lambda c, pair: F.replace(c, F.lit(pair[0]), F.lit(f" {pair[1]} ")), cleaning.LONGEST_EMOTICONS_FIRST, F.col("t"))
+    symbols = F.regexp_replace("t", f"[{cleaning.SYMBOL_RANGES}]+", " ")
+    assert df.where((plain != cleaning.replace_emoticons(F.col("t"))) | (symbols != cleaning.remove_symbols(F.col("t")))).isEmpty()
+    plan = df.select(cleaning.replace_emoticons(F.col("t")))._jdf.queryExecution().executedPlan().toString()
+    assert "CASE WHEN" in plan
+    words = spark.createDataFrame([("i cannot 'tis d'ye gimme gonna gotta lemme more'n wanna go wanna",)], "n string")
+    assert words.select(cleaning.tokenise("n")).first()[0] == (
+        "i can not 't is d 'ye gim me gon na got ta lem me more 'n wan na go wan na".split())
