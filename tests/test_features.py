@@ -167,3 +167,45 @@ def test_top_terms_limit_before_shuffle(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("lang").alias("emotion"), F.split("text", " ").alias("tokens"))
     plan = eda.top_terms_per_class(docs)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def _by_lists(spark, texts):
+    rows = [(i, i % 3, t.split(" ") if t else [], t) for i, t in enumerate(texts)]
+    return spark.createDataFrame(rows, "id bigint, label int, tokens array<string>, content string")
+
+
+def test_terms_by_batch_are_those_of_the_row(spark):
+    """Apostrophes, single letters, other alphabets, empty texts; several slices, larger ranges."""
+    import pyarrow as pa
+
+    from textloom.functions import term_batches
+    from textloom.operators.vocabulary import term_totals
+
+    df = _by_lists(spark, ["aa bb aa bb", "", "don't n't aa x bb", "café aa Bb cc aa", "'aa' bb'cc", "aa", "zz zz zz zz"])
+    for grams in ((1, 1), (1, 2), (2, 3)):
+        expected = document_frequencies(term_rows(df, [], ngram_range=grams))
+        for col in ("tokens", "content"):
+            got = term_totals(df, col, grams)
+            assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    assert len(list(term_batches.slices(np.array([5, 0, 5, 9]), 8))) > 1
+    one = list(term_batches.counted(pa.array(["aa bb aa", None]), (1, 2)))
+    assert [(c.terms[k].as_py(), n) for c in one for k, n in zip(c.codes, c.tf)] == [("aa", 2), ("bb", 1), ("aa bb", 1), ("bb aa", 1)]
+
+
+def test_terms_and_scores_without_a_row_a_term(spark):
+    """Neither counts nor scores take documents apart in Spark: one row a document is shuffled, not one a term."""
+    df = _by_lists(spark, ["aa bb", "aa cc cc", "bb cc", "aa bb dd", "dd"] * 4)
+    vocab = fit_vocabulary(df, "content", max_df="1.0")
+    weights = fit_nb(df, vocab, 3, tokens_col="content")
+    scored = nb_scores(df, weights, vocab, 3, ["label"], tokens_col="content")
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Join" not in plan
+    assert scored.count() == 20 and {r.n_tokens for r in scored.collect()} == {1, 2, 3}
+    # Rows with the same keys are added up.
+    twice = nb_scores(df.union(df), weights, vocab, 3, ["label"], tokens_col="content")
+    both = {r.id: r.scores for r in scored.collect()}
+    assert all(r.scores == pytest.approx([2 * s for s in both[r.id]]) for r in twice.collect())
+    # The sums of the joined terms' weights.
+    terms = term_rows(df, ["id"]).join(weights, "term").select("id", "tf", F.posexplode("weights").alias("c", "w"))
+    for r in terms.groupBy("id", "c").agg(F.sum(F.col("tf") * F.col("w")).alias("s")).collect():
+        assert both[r.id][r.c] == pytest.approx(r.s)
