@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
@@ -184,3 +186,16 @@ def test_word2vec(spark, ready, tmp_path):
     data = word2vec_data(train, model, 6)
     fitted = text_model(word2vec_stages(model), train_model("rf", data, LIGHT["rf"]), EMOTIONS)
     assert score(split.limit(5).select("id", "text"), fitted).count() == 5
+
+
+def test_boosting_queries_run_all_rounds(spark, ready, monkeypatch):
+    """`boosting_curves` trains with the library's settings."""
+    from textloom.plans import model_queries, registry, train
+
+    wanted, found = vars(registry.boost_of({})), []
+    prepared = SimpleNamespace(data=ready[3], model=lambda trained: trained)
+    monkeypatch.setattr(model_queries, "Prepared", lambda spark, sf_dir: prepared)
+    monkeypatch.setattr(train, "boosting_rounds", lambda rows, size, classes, model, seed: found.append(model) or spark.createDataFrame(
+        [(0, 1.0, 1.0, 0.5, 0.5)], "iteration int, loss double, val_loss double, accuracy double, val_accuracy double"))
+    model_queries.boosting_curves(spark, "")
+    assert [vars(m) for m in found] == [wanted] and wanted["rounds"] == 150
