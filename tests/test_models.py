@@ -189,7 +189,7 @@ def test_word2vec(spark, ready, tmp_path):
 
 
 def test_boosting_queries_run_all_rounds(spark, ready, monkeypatch):
-    """`boosting_curves` trains with the library's settings."""
+    """`boosting_curves` and `train_gb` train with the library's settings."""
     from textloom.plans import model_queries, registry, train
 
     wanted, found = vars(registry.boost_of({})), []
@@ -199,3 +199,7 @@ def test_boosting_queries_run_all_rounds(spark, ready, monkeypatch):
         [(0, 1.0, 1.0, 0.5, 0.5)], "iteration int, loss double, val_loss double, accuracy double, val_accuracy double"))
     model_queries.boosting_curves(spark, "")
     assert [vars(m) for m in found] == [wanted] and wanted["rounds"] == 150
+    monkeypatch.undo()
+    monkeypatch.setattr(registry, "BoostedTrees", lambda size, classes, model, seed: SimpleNamespace(fit=lambda rows: found.append(model)))
+    model_queries.Prepared.fit(prepared, "gb")
+    assert [vars(m) for m in found] == [wanted] * 2
